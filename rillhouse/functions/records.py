@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def strict_record(value: Column, schema: T.StructType) -> Column:
-    """One JSON object read against `schema`, or null for anything else.
+def strict_records(df: DataFrame, schema: T.StructType, into: str = "_r") -> DataFrame:
+    """Read `value` as exactly one JSON object; `into` is null for anything else.
 
     The text is read as a one-element array, which turns away text after the object, bare
     arrays and scalars, `null`, empty lines and several objects in one line. Plain reading
-    lets most of those through.
+    lets most of those through. Unpacking the array with explode also keeps later filters on
+    the record above the parse, so that a line is parsed once and not once per filter.
     """
-    wrapped = F.concat(F.lit("["), value, F.lit("]"))
-    rows = F.from_json(wrapped, T.ArrayType(schema))
-    return F.when(F.size(rows) == 1, F.get(rows, F.lit(0)))
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    read = df.withColumn("_rows", F.from_json(wrapped, T.ArrayType(schema)))
+    one = F.when(F.size("_rows") == 1, F.col("_rows"))
+    return read.select(*df.columns, F.explode_outer(one).alias(into))
 
 
 def parse_bean(df: DataFrame, schema: T.StructType, value: str = "value", *keep: str) -> DataFrame:

@@ -56,6 +56,15 @@ def interval_join(
     return met.drop("_left_bucket", "_right_bucket")
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark a side for broadcast after counting that it has at most `max_rows` rows.
+
+    For sides whose size the planner cannot estimate. The count stops at the bound.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,

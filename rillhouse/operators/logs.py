@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import schemas
-from rillhouse.functions.records import is_blank, json_line, set_text_field, strict_record, whole_number
+from rillhouse.functions.records import is_blank, json_line, set_text_field, strict_records, whole_number
 
 # Columns of a read log record, beside the untouched `value` and its `seq`.
 RECORD_FIELDS = (
@@ -21,8 +21,7 @@ def read_lines(lines: DataFrame) -> DataFrame:
     A line is rejected when it is not exactly one JSON object, or when it has no device id or
     no event time: nothing downstream can key or order such a record.
     """
-    record = strict_record(F.col("value"), schemas.LOG_RECORD)
-    read = lines.withColumn("_r", record)
+    read = strict_records(lines, schemas.LOG_RECORD)
     flat = read.select(
         *lines.columns,
         *(F.col(f"_r.common.{c}").alias(c) for c in ("mid", "is_new", "vc", "ch", "ar")),

@@ -117,13 +117,32 @@ def add_category(df: DataFrame, categories: DataFrame) -> DataFrame:
     return lookup(df, categories, F.col("category3_id"), {"category3_name": F.col("NAME")})
 
 
+def flat_skus(dims: dict[str, DataFrame]) -> DataFrame:
+    """The sku dimension with its spu, trademark and category names.
+
+    Those three hang on ids the sku row gives, so they are looked up once per sku instead of
+    once per order row.
+    """
+    sku, spu, mark, category = (dims[name] for name in schemas.DIM_TABLES[2:])
+    ids = {
+        "category3_id": F.col("CATEGORY3_ID").try_cast("bigint"),
+        "spu_id": F.col("SPU_ID").try_cast("bigint"),
+        "tm_id": F.col("TM_ID").try_cast("bigint"),
+    }
+    rows = sku.select("ID", F.col("SKU_NAME").alias("sku_name"), *(c.alias(n) for n, c in ids.items()))
+    return add_category(add_trademark(add_spu(rows, spu), mark), category)
+
+
 def add_dimensions(
     wide: DataFrame, dims: dict[str, DataFrame], as_of_ms: Column | None = None
 ) -> DataFrame:
-    """All six lookups; spu, trademark and category need the sku's ids first."""
-    user, province, sku, spu, mark, category = (dims[name] for name in schemas.DIM_TABLES)
+    """All six lookups over an order row that has none of their columns filled yet."""
+    user, province = (dims[name] for name in schemas.DIM_TABLES[:2])
     wide = add_province(add_user(wide, user, as_of_ms), province)
-    wide = add_category(add_trademark(add_spu(add_sku(wide, sku), spu), mark), category)
+    of_sku = (
+        "sku_name", "category3_id", "spu_id", "tm_id", "spu_name", "tm_name", "category3_name",
+    )
+    wide = lookup(wide, flat_skus(dims), F.col("sku_id"), {c: F.col(c) for c in of_sku})
     return wide.select(*schemas.ORDER_WIDE.fieldNames())
 
 
