@@ -104,6 +104,8 @@ ODS_DB = "ods_base_db"
 DWD_START = "dwd_start_log"
 DWD_PAGE = "dwd_page_log"
 DWD_DISPLAY = "dwd_display_log"
+DWD_DIRTY = "dwd_dirty_log"
+DWD_REJECTED = "dwd_rejected_changes"
 DWD_ORDER = "dwd_order_info"
 DWD_DETAIL = "dwd_order_detail"
 DWD_PAYMENT = "dwd_payment_info"

@@ -30,6 +30,7 @@ GROUPS = {
     schemas.DWD_START: "dwd_log",
     schemas.DWD_PAGE: "dwd_log",
     schemas.DWD_DISPLAY: "dwd_log",
+    schemas.DWD_DIRTY: "dwd_log",
     schemas.DWM_VISIT: "dwm_unique_visit",
     schemas.DWM_JUMP: "dwm_user_jump_detail",
     schemas.DWM_ORDER_WIDE: "dwm_order_wide",

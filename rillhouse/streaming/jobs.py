@@ -17,9 +17,6 @@ from rillhouse.sources.tables import read_rules
 from rillhouse.sources.topics import ROUTED_FACTS, Topics, stream_topic
 from rillhouse.streaming import operators
 
-DIRTY = "dirty_log"
-REJECTS = "rejected_changes"
-
 
 @dataclass(frozen=True)
 class Job:
@@ -59,7 +56,7 @@ def split_logs(job: Job) -> StreamingQuery:
     lines = job.read(schemas.ODS_LOG, "base_log")
     routed = logs.routed_lines(operators.fix_new_visitors(lines))
     dirty = logs.dirty_lines(lines).select(
-        F.lit(DIRTY).alias("topic"), json_line("value", "reject_reason").alias("value"), "seq"
+        F.lit(schemas.DWD_DIRTY).alias("topic"), json_line("value", "reject_reason").alias("value"), "seq"
     )
     return job.write(routed.unionByName(dirty), "dwd_log")
 
@@ -78,7 +75,7 @@ def route_changes(job: Job, rules_path: str, rules_format: str = "json") -> Stre
                 F.col("sink_table").alias("topic"), F.col("after").alias("value"), "seq", "record_ms"
             )
             rejected = changes.rejects(routed).select(
-                F.lit(REJECTS).alias("topic"),
+                F.lit(schemas.DWD_REJECTED).alias("topic"),
                 json_line("tableName", "type", "reject_reason", "after").alias("value"),
                 "seq",
                 "record_ms",
