@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def computed_once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
+    """`keep` columns and computed ones, in a step that later filters are not pushed through.
+
+    A filter on a plain computed column is pushed below it with the expression copied, null
+    checks of join keys included, so that a parse runs once per filter on top of its own run.
+    """
+    cells = F.struct(*(c.alias(n) for n, c in columns.items()))
+    return df.select(*keep, F.inline(F.array(cells)))
+
+
 def strict_records(df: DataFrame, schema: T.StructType, into: str = "_r") -> DataFrame:
     """Read `value` as exactly one JSON object; `into` is null for anything else.
 
@@ -23,8 +33,8 @@ def strict_records(df: DataFrame, schema: T.StructType, into: str = "_r") -> Dat
 
 def parse_bean(df: DataFrame, schema: T.StructType, value: str = "value", *keep: str) -> DataFrame:
     """Replace a JSON text column by the columns of `schema`; `keep` columns stay."""
-    record = F.from_json(F.col(value), schema).alias("_record")
-    return df.select(*keep, record).select(*keep, "_record.*")
+    rows = computed_once(df, *keep, _record=F.from_json(F.col(value), schema))
+    return rows.select(*keep, "_record.*")
 
 
 def json_line(*columns: str | Column) -> Column:

@@ -50,8 +50,13 @@ def age_years(birthday: Column, as_of_ms: Column | None = None) -> Column:
 
 
 def date_part(text: Column) -> Column:
-    return F.split_part(text, F.lit(" "), F.lit(1))
+    """What stands before the first blank."""
+    return F.substring_index(text, " ", 1)
 
 
 def hour_part(text: Column) -> Column:
-    return F.split_part(F.split_part(text, F.lit(" "), F.lit(2)), F.lit(":"), F.lit(1))
+    """The digits between the first blank and the next colon, empty when there is no blank."""
+    clock = F.substring_index(F.substring_index(text, " ", 2), " ", -1)
+    return F.when(F.contains(text, F.lit(" ")), F.substring_index(clock, ":", 1)).when(
+        text.isNotNull(), ""
+    )

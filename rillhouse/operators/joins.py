@@ -81,7 +81,7 @@ def lookup(
     nothing.
     """
     scattered = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(1009)).cast("string")
+        F.lit("\u0000"), F.pmod(F.xxhash64(F.struct("*")), F.lit(1009)).cast("string")
     )
     keyed = df.withColumn("_key", F.coalesce(key.cast("string"), scattered))
     side = dim.select(
@@ -89,12 +89,12 @@ def lookup(
     )
     joined = keyed.join(side, F.col("_key") == F.col("_dim_key"), "left")
     hit = F.col("_dim_key").isNotNull()
-    existing = [
-        F.when(hit, F.col(f"_take_{c}")).otherwise(F.col(c)).alias(c) if c in take else F.col(c)
-        for c in df.columns
-    ]
-    added = [F.col(f"_take_{n}").alias(n) for n in take if n not in df.columns]
-    return joined.select(*existing, *added)
+    have = set(df.columns)
+    taken = {
+        n: F.when(hit, F.col(f"_take_{n}")).otherwise(F.col(n)) if n in have else F.col(f"_take_{n}")
+        for n in take
+    }
+    return joined.withColumns(taken).drop("_key", "_dim_key", *(f"_take_{n}" for n in take))
 
 
 def point_lookup(dim: DataFrame, key: str, dim_key: str = "ID") -> DataFrame:

@@ -13,6 +13,7 @@ from rillhouse.functions.times import (
     text_time,
     text_time_or_record,
 )
+from rillhouse.functions.records import computed_once
 from rillhouse.operators.joins import interval_join, lookup
 
 ORDER_LOWER_MS, ORDER_UPPER_MS = -5_000, 5_000
@@ -40,7 +41,7 @@ MERGED = (
 
 def with_event_time(rows: DataFrame) -> DataFrame:
     """Add `et`, `create_ts` and the date and hour texts from `create_time`."""
-    timed = rows.withColumn("et", text_time(F.col("create_time")))
+    timed = computed_once(rows, *rows.columns, et=text_time(F.col("create_time")))
     return timed.select(
         *rows.columns,
         date_part(F.col("create_time")).alias("create_date"),
@@ -71,7 +72,7 @@ def join_details(
     cells |= {c: F.col(f"d_{c}") for c in FROM_DETAIL}
     return pairs.select(
         *(
-            cells.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            cells.get(f.name, F.lit(None).cast(f.dataType.simpleString())).alias(f.name)
             for f in schemas.ORDER_WIDE
         )
     )
@@ -148,14 +149,15 @@ def add_dimensions(
 
 def with_payment_time(payments: DataFrame, record_ms: str = "record_ms") -> DataFrame:
     """Add `et` from `create_time`, or the record's arrival when that cannot be read."""
-    return payments.withColumn(
-        "et", text_time_or_record(F.col("create_time"), F.col(record_ms))
+    return computed_once(
+        payments, *payments.columns,
+        et=text_time_or_record(F.col("create_time"), F.col(record_ms)),
     )
 
 
 def with_wide_time(wide: DataFrame, record_ms: str | None = None) -> DataFrame:
     if record_ms is None:
-        return wide.withColumn("et", text_time(F.col("create_time")))
+        return computed_once(wide, *wide.columns, et=text_time(F.col("create_time")))
     return with_payment_time(wide, record_ms)
 
 

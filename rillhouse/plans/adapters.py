@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from rillhouse import schemas
 from rillhouse.functions.times import SECONDS_FORMAT
 from rillhouse.operators.orders import with_event_time
+from rillhouse.sources.tables import spread
 
 AS_OF = "2024-06-01 00:00:00"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spread(spark, spark.read.parquet(path), path)
 
 
 def _cents(amount: Column) -> Column:
@@ -25,7 +27,8 @@ def _cents(amount: Column) -> Column:
 
 
 def _money(cents: Column) -> Column:
-    return (cents.cast("decimal(20,0)") / 100).cast(schemas.MONEY)
+    # Multiplying decimals is much cheaper than dividing them.
+    return (cents.cast("decimal(16,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(schemas.MONEY)
 
 
 def _quoted(text: Column) -> Column:
