@@ -297,6 +297,16 @@ def oracle_sql() -> dict[str, str]:
         "entry_pages": f"{pages} SELECT seq, mid, ts FROM pages WHERE entry",
         "unique_visit": f"{marks} SELECT seq, mid, dt, ts, page_id FROM marks WHERE is_visit",
         "user_jump": f"{marks} SELECT seq, mid, ts, page_id FROM marks WHERE is_bounce",
+        "user_jump_followed": f"""{marks} SELECT seq, mid, ts, page_id FROM marks
+            WHERE is_bounce AND next_ts - ts < {SIX_HOURS}""",
+        "user_jump_timed_out": f"""{marks} SELECT seq, mid, ts, page_id FROM marks
+            WHERE is_bounce AND (next_ts IS NULL OR next_ts - ts >= {SIX_HOURS})""",
+        "user_jump_union": f"""{marks}
+            SELECT seq, mid, ts, 'followed' AS bounce_kind FROM marks
+            WHERE entry AND next_entry AND next_ts - ts < {SIX_HOURS}
+            UNION ALL
+            SELECT seq, mid, ts, 'timed out' FROM marks
+            WHERE entry AND (next_ts IS NULL OR next_ts - ts >= {SIX_HOURS})""",
         "user_jump_inclusive": f"""WITH {RECORDS},
             hourly AS (SELECT * REPLACE (ts - ts % 3600000 AS ts) FROM rec),
             {_marks('hourly', late='>')}
@@ -393,6 +403,20 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN id % 6 <> 0 THEN {_m("fee")} END AS split_total_amount,
             CASE WHEN id % 7 <> 0 THEN coalesce(strftime(et, '%H'), '') END AS create_hour
             FROM oi""",
+        "stream_new_visitor_fix": f"""WITH {FIXED}
+            SELECT seq, mid, raw_is_new, is_new FROM fixed""",
+        "stream_unique_visit": f"{marks} SELECT mid, dt FROM marks WHERE is_visit",
+        "stream_user_jump": f"{marks} SELECT seq FROM marks WHERE is_bounce",
+        "stream_page_stats": f"""{marks}, shaped AS ({PV}),
+            binned AS (SELECT *, ts - ts % {SIX_HOURS} AS w FROM shaped)
+            SELECT strftime(make_timestamp(w * 1000), {SECONDS}) AS stt,
+              strftime(make_timestamp((w + {SIX_HOURS}) * 1000), {SECONDS}) AS edt,
+              vc, ch, ar, is_new, CAST(sum(uv_ct) AS BIGINT) AS uv_ct,
+              CAST(sum(pv_ct) AS BIGINT) AS pv_ct, CAST(sum(sv_ct) AS BIGINT) AS sv_ct,
+              CAST(sum(uj_ct) AS BIGINT) AS uj_ct, CAST(sum(dur_sum) AS BIGINT) AS dur_sum,
+              min(ts) AS ts FROM binned GROUP BY w, vc, ch, ar, is_new""",
+        "stream_order_interval_join": f"""WITH {ORDERS}, {JOINED}
+            SELECT * EXCLUDE (et), {NO_DIMS} FROM joined""",
         "camel_rename": """SELECT n_nationkey AS "nNationkey", n_name AS "nName",
             n_regionkey AS "nRegionkey" FROM nation""",
         "drop_transient": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",

@@ -10,6 +10,7 @@ from rillhouse.operators import slices
 from rillhouse.operators.logs import entry_pages, is_entry, is_start
 
 BOUNCE_HORIZON_MS = 10_000
+FOLLOWED, TIMED_OUT = "followed", "timed out"
 
 
 def _claims_new() -> Column:
@@ -59,12 +60,13 @@ def bounces(
     horizon_ms: int = BOUNCE_HORIZON_MS,
     inclusive: bool = False,
     slice_ms: int | None = None,
+    with_kind: bool = False,
 ) -> DataFrame:
     """Entry pages that led nowhere: the device's next page is an entry page too, or does not
     come within the horizon.
 
     A page exactly at the horizon counts as not within it, unless `inclusive`. Rows that
-    cannot be emitted travel without their payload.
+    cannot be emitted travel without their payload. `with_kind` adds which of the two it was.
     """
     within = horizon_ms + 1 if inclusive else horizon_ms
     width = slice_ms or slices.default_width(within)
@@ -84,7 +86,23 @@ def bounces(
         F.lead("_entry").over(order).alias("_next_entry"),
     )
     gone = F.col("_next_ts").isNull() | (F.col("_next_ts") - F.col("ts") >= F.lit(within))
-    return seen.where(F.col("_emits") & (gone | F.col("_next_entry"))).select(*pages.columns)
+    found = seen.where(F.col("_emits") & (gone | F.col("_next_entry")))
+    if not with_kind:
+        return found.select(*pages.columns)
+    kind = F.when(gone, TIMED_OUT).otherwise(FOLLOWED)
+    return found.select(*pages.columns, kind.alias("bounce_kind"))
+
+
+def followed_bounces(pages: DataFrame, horizon_ms: int = BOUNCE_HORIZON_MS, **how) -> DataFrame:
+    """Entry pages whose next page, within the horizon, is an entry page too."""
+    found = bounces(pages, horizon_ms, with_kind=True, **how)
+    return found.where(F.col("bounce_kind") == FOLLOWED).drop("bounce_kind")
+
+
+def timed_out_bounces(pages: DataFrame, horizon_ms: int = BOUNCE_HORIZON_MS, **how) -> DataFrame:
+    """Entry pages with no next page within the horizon."""
+    found = bounces(pages, horizon_ms, with_kind=True, **how)
+    return found.where(F.col("bounce_kind") == TIMED_OUT).drop("bounce_kind")
 
 
 def visit_flags(

@@ -44,9 +44,19 @@ def _field(name: str, value: Column) -> Column:
     return F.concat(F.lit(f'"{name}":'), value)
 
 
+def load_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream; the pattern lets one file stand where a folder is expected."""
+    schema = load(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behaviour log lines, `value, seq`, out of `events`, with every kind of broken line."""
-    events = load(spark, sf_dir, "events").select(
+    return log_lines(load(spark, sf_dir, "events"))
+
+
+def log_lines(table: DataFrame) -> DataFrame:
+    events = table.select(
         "event_id",
         "user_id",
         "event_type",
@@ -208,7 +218,10 @@ def _clock(day: Column, seconds: Column) -> Column:
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in the `order_info` layout with `et`; every 29th has an unreadable time."""
-    orders = load(spark, sf_dir, "orders")
+    return order_rows(load(spark, sf_dir, "orders"))
+
+
+def order_rows(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     created = _clock(F.col("o_orderdate"), (key * 37) % 86_400)
     total = _cents(F.col("o_totalprice"))
@@ -231,7 +244,10 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items in the `order_detail` layout with `et`."""
-    lines = load(spark, sf_dir, "lineitem")
+    return detail_rows(load(spark, sf_dir, "lineitem"))
+
+
+def detail_rows(lines: DataFrame) -> DataFrame:
     key, number = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
     total = _cents(F.col("l_extendedprice"))
     seconds = (key * 37) % 86_400 + number % 3 - 1

@@ -23,6 +23,7 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register under the function's name."""
     _QUERIES[fn.__name__] = fn
     return fn
 
@@ -142,6 +143,25 @@ def user_jump_inclusive(spark, d):
     return jumps.select("seq", "mid", "ts", "page_id")
 
 
+@query
+def user_jump_followed(spark, d):
+    jumps = visitors.followed_bounces(_pages(spark, d), HORIZON_MS)
+    return jumps.select("seq", "mid", "ts", "page_id")
+
+
+@query
+def user_jump_timed_out(spark, d):
+    jumps = visitors.timed_out_bounces(_pages(spark, d), HORIZON_MS)
+    return jumps.select("seq", "mid", "ts", "page_id")
+
+
+@query
+def user_jump_union(spark, d):
+    """Both kinds from one pass, told apart by a column instead of a union of two outputs."""
+    jumps = visitors.bounces(_pages(spark, d), HORIZON_MS, with_kind=True)
+    return jumps.select("seq", "mid", "ts", "bounce_kind")
+
+
 @query
 def visit_flags(spark, d):
     flagged = visitors.visit_flags(_records(spark, d), HORIZON_MS)

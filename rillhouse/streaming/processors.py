@@ -34,21 +34,29 @@ BOUNCE_OUT = T.StructType(
 
 
 class FirstClaim(StatefulProcessor):
-    """Lets the first record of a device that claims to be new keep its flag, for ever."""
+    """Lets the first record of a device that claims to be new keep its flag, for ever.
+
+    Within a micro-batch first means smallest `(ts, seq)`. One row is held at a time.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("at", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = self.seen.exists()
-        for row in sorted(rows, key=lambda r: (r.ts, r.seq)):
-            flag = "0" if known else "1"
-            if not known:
-                self.seen.update((row.ts,))
-                known = True
-            yield Row(
-                mid=key[0], value=row.value, seq=row.seq, record_ms=row.record_ms, is_new=flag
-            )
+        if self.seen.exists():
+            for row in rows:
+                yield self._out(key, row, "0")
+            return
+        first = next(rows)
+        for row in rows:
+            if (row.ts, row.seq) < (first.ts, first.seq):
+                row, first = first, row
+            yield self._out(key, row, "0")
+        self.seen.update((first.ts,))
+        yield self._out(key, first, "1")
+
+    def _out(self, key, row: Row, flag: str) -> Row:
+        return Row(mid=key[0], value=row.value, seq=row.seq, record_ms=row.record_ms, is_new=flag)
 
     def close(self) -> None:
         pass
