@@ -71,6 +71,7 @@ def lookup(
     key: Column,
     take: dict[str, Column],
     dim_key: str = "ID",
+    row_id: str | None = None,
 ) -> DataFrame:
     """Add or replace columns from the current dimension row of `key`.
 
@@ -78,11 +79,10 @@ def lookup(
     as it was. How to join is left to the planner, which knows the table's size: a dimension
     under the broadcast limit is broadcast, a larger one is shuffled, hot keys split at run
     time. Rows without a key would all hash alike, so they get scattered keys that match
-    nothing.
+    nothing, drawn from `row_id` or, without one, from the whole row.
     """
-    scattered = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64(F.struct("*")), F.lit(1009)).cast("string")
-    )
+    drawn = F.xxhash64(F.col(row_id) if row_id else F.struct("*"))
+    scattered = F.concat(F.lit("\u0000"), F.pmod(drawn, F.lit(1009)).cast("string"))
     keyed = df.withColumn("_key", F.coalesce(key.cast("string"), scattered))
     side = dim.select(
         F.col(dim_key).alias("_dim_key"), *(c.alias(f"_take_{n}") for n, c in take.items())

@@ -78,12 +78,20 @@ def join_details(
     )
 
 
+def _row_id(df: DataFrame) -> str | None:
+    return next((c for c in ("detail_id", "id", "ID") if c in df.columns), None)
+
+
+def _lookup(df: DataFrame, dim: DataFrame, key: str, take: dict[str, Column]) -> DataFrame:
+    return lookup(df, dim, F.col(key), take, row_id=_row_id(df))
+
+
 def add_user(df: DataFrame, users: DataFrame, as_of_ms: Column | None = None) -> DataFrame:
     take = {
         "user_gender": F.col("GENDER"),
         "user_age": age_years(F.col("BIRTHDAY"), as_of_ms),
     }
-    return lookup(df, users, F.col("user_id"), take)
+    return _lookup(df, users, "user_id", take)
 
 
 def add_province(df: DataFrame, provinces: DataFrame) -> DataFrame:
@@ -93,7 +101,7 @@ def add_province(df: DataFrame, provinces: DataFrame) -> DataFrame:
         "province_iso_code": F.col("ISO_CODE"),
         "province_3166_2_code": F.col("ISO_3166_2"),
     }
-    return lookup(df, provinces, F.col("province_id"), take)
+    return _lookup(df, provinces, "province_id", take)
 
 
 def add_sku(df: DataFrame, skus: DataFrame) -> DataFrame:
@@ -103,19 +111,19 @@ def add_sku(df: DataFrame, skus: DataFrame) -> DataFrame:
         "spu_id": F.col("SPU_ID").try_cast("bigint"),
         "tm_id": F.col("TM_ID").try_cast("bigint"),
     }
-    return lookup(df, skus, F.col("sku_id"), take)
+    return _lookup(df, skus, "sku_id", take)
 
 
 def add_spu(df: DataFrame, spus: DataFrame) -> DataFrame:
-    return lookup(df, spus, F.col("spu_id"), {"spu_name": F.col("SPU_NAME")})
+    return _lookup(df, spus, "spu_id", {"spu_name": F.col("SPU_NAME")})
 
 
 def add_trademark(df: DataFrame, marks: DataFrame) -> DataFrame:
-    return lookup(df, marks, F.col("tm_id"), {"tm_name": F.col("TM_NAME")})
+    return _lookup(df, marks, "tm_id", {"tm_name": F.col("TM_NAME")})
 
 
 def add_category(df: DataFrame, categories: DataFrame) -> DataFrame:
-    return lookup(df, categories, F.col("category3_id"), {"category3_name": F.col("NAME")})
+    return _lookup(df, categories, "category3_id", {"category3_name": F.col("NAME")})
 
 
 def flat_skus(dims: dict[str, DataFrame]) -> DataFrame:
@@ -143,7 +151,7 @@ def add_dimensions(
     of_sku = (
         "sku_name", "category3_id", "spu_id", "tm_id", "spu_name", "tm_name", "category3_name",
     )
-    wide = lookup(wide, flat_skus(dims), F.col("sku_id"), {c: F.col(c) for c in of_sku})
+    wide = _lookup(wide, flat_skus(dims), "sku_id", {c: F.col(c) for c in of_sku})
     return wide.select(*schemas.ORDER_WIDE.fieldNames())
 
 

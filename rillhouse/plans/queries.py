@@ -334,11 +334,15 @@ def order_interval_join(spark, d):
 
 def _ids(spark, d):
     """Every line item's and its order's keys: the left side of the lookups."""
-    line = adapters.order_detail(spark, d).select(
-        "id", "order_id", "sku_id", "sku_name", (F.col("order_id") % 28).alias("province_id"),
-        (F.col("order_id") % 1600).alias("user_id"),
+    part = F.col("l_partkey")
+    return adapters.load(spark, d, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.when(part % 41 != 0, part).alias("sku_id"),
+        F.concat(F.lit("sku "), part.cast("string")).alias("sku_name"),
+        (F.col("l_orderkey") % 28).alias("province_id"),
+        (F.col("l_orderkey") % 1600).alias("user_id"),
     )
-    return line.withColumn("sku_id", F.when(F.col("sku_id") % 41 != 0, F.col("sku_id")))
 
 
 def _dims(spark, d):
