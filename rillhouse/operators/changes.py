@@ -78,7 +78,7 @@ def match_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
     Up to `MAX_BROADCAST_RULES` rules are broadcast; a larger table is joined as any other.
     """
-    active = broadcast_if_small(current_rules(rules), MAX_BROADCAST_RULES).select(
+    active = broadcast_if_small(current_rules(rules), MAX_BROADCAST_RULES, rules).select(
         F.col("source_table").alias("_source"),
         F.col("operate_type").alias("_operation"),
         "sink_type",

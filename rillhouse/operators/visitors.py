@@ -126,42 +126,22 @@ def visit_flags(
         _claims_new().alias("_claims"),
     )
 
-    narrow = slices.add_slice(marked.select("mid", "ts", "_entry", "_claims"), width)
-    daily = (
-        narrow.where(F.col("_entry") | F.col("_claims"))
-        .withColumn("dt", day_of(F.col("ts")))
-        .groupBy("mid", "dt")
-        .agg(
-            F.min(F.when(F.col("_claims"), F.col("slice"))).alias("claim_slice"),
-            F.min(F.when(F.col("_entry"), F.col("slice"))).alias("visit_slice"),
+    # The first slice of each device's days, and of its claims under an empty day.
+    days = F.array_compact(
+        F.array(
+            F.when(F.col("_entry"), day_of(F.col("ts"))), F.when(F.col("_claims"), F.lit(""))
         )
     )
-    # One row per device and day is left here, so a device's days may share a task.
-    by_device = daily.withColumn(
-        "first_claim", F.min("claim_slice").over(Window.partitionBy("mid"))
-    )
-    firsts = by_device.select(
-        "mid",
-        F.inline(
-            F.array(
-                F.struct(
-                    F.when(F.col("claim_slice") == F.col("first_claim"), F.col("claim_slice"))
-                    .alias("slice"),
-                    F.lit(True).alias("claim_here"),
-                    F.lit(False).alias("visit_here"),
-                ),
-                F.struct(
-                    F.col("visit_slice").alias("slice"),
-                    F.lit(False).alias("claim_here"),
-                    F.lit(True).alias("visit_here"),
-                ),
-            )
-        ),
-    )
+    narrow = slices.add_slice(marked.select("mid", "ts", "_entry", "_claims"), width)
     firsts = (
-        firsts.where(F.col("slice").isNotNull())
+        narrow.select("mid", "slice", F.explode(days).alias("day"))
+        .groupBy("mid", "day")
+        .agg(F.min("slice").alias("slice"))
         .groupBy("mid", "slice")
-        .agg(F.max("claim_here").alias("claim_here"), F.max("visit_here").alias("visit_here"))
+        .agg(
+            F.max(F.col("day") == "").alias("claim_here"),
+            F.max(F.col("day") != "").alias("visit_here"),
+        )
     )
 
     # Start records only count as claims and copies only as followers: no payload for either.
