@@ -103,8 +103,9 @@ def record_line(raw_is_new: Column) -> Column:
 def routed_lines(records: DataFrame, raw_is_new: str = "raw_is_new") -> DataFrame:
     """Every output line of the split in one pass: `topic, value, seq`.
 
-    One exploding projection feeds all three topics, so the corrected records are computed
-    once and written by one sink, instead of once per topic.
+    One exploding projection feeds all topics, so the corrected records are computed once and
+    written by one sink, instead of once per topic. Rows with a `reject_reason`, where the
+    frame has that column, go to the dirty topic as they came.
     """
     line = record_line(F.col(raw_is_new))
     one = F.array(
@@ -123,11 +124,14 @@ def routed_lines(records: DataFrame, raw_is_new: str = "raw_is_new") -> DataFram
             F.to_json(with_page_id(d, F.col("page_id"))).alias("value"),
         ),
     )
-    outputs = F.concat(one, F.coalesce(displays, F.array().cast(one_type())))
+    none = F.array().cast("array<struct<topic:string,value:string>>")
+    outputs = F.concat(one, F.coalesce(displays, none))
+    if "reject_reason" in records.columns:
+        dirty = F.struct(
+            F.lit(schemas.DWD_DIRTY).alias("topic"),
+            json_line("value", "reject_reason").alias("value"),
+        )
+        outputs = F.when(F.col("reject_reason").isNotNull(), F.array(dirty)).otherwise(outputs)
     return records.select("seq", F.explode(outputs).alias("_o")).select(
         "_o.topic", "_o.value", "seq"
     )
-
-
-def one_type() -> str:
-    return "array<struct<topic:string,value:string>>"

@@ -54,11 +54,8 @@ def capture_changes(job: Job, events: DataFrame) -> StreamingQuery:
 def split_logs(job: Job) -> StreamingQuery:
     """Raw log lines to start, page and display topics, dirty lines to a topic of their own."""
     lines = job.read(schemas.ODS_LOG, "base_log")
-    routed = logs.routed_lines(operators.fix_new_visitors(lines))
-    dirty = logs.dirty_lines(lines).select(
-        F.lit(schemas.DWD_DIRTY).alias("topic"), json_line("value", "reject_reason").alias("value"), "seq"
-    )
-    return job.write(routed.unionByName(dirty), "dwd_log")
+    records = operators.fix_new_visitors(lines, keep_rejected=True)
+    return job.write(logs.routed_lines(records), "dwd_log")
 
 
 def route_changes(job: Job, rules_path: str, rules_format: str = "json") -> StreamingQuery:

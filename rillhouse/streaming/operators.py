@@ -15,25 +15,30 @@ def with_event_time(records: DataFrame, delay: str) -> DataFrame:
     return records.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", delay)
 
 
-def fix_new_visitors(lines: DataFrame) -> DataFrame:
-    """Clean records with the corrected `is_new` and the flag as it came in `raw_is_new`.
+def fix_new_visitors(lines: DataFrame, keep_rejected: bool = False) -> DataFrame:
+    """Records with the corrected `is_new` and the flag as it came in `raw_is_new`.
 
     Only records that claim to be new pass through the state; the others neither read nor set
-    it and stay on the JVM.
+    it and stay on the JVM. Rejected lines are left out, or kept with their `reject_reason`.
     """
-    records = logs.clean_records(lines)
-    claims = F.col("is_new").eqNullSafe("1")
+    read = logs.read_lines(lines)
+    clean = F.col("reject_reason").isNull()
+    claims = clean & F.col("is_new").eqNullSafe("1")
     fixed = (
-        records.where(claims)
+        read.where(claims)
         .select("mid", "value", "seq", "record_ms", "ts")
         .groupBy("mid")
         .transformWithState(FirstClaim(), CLAIM_OUT, "append", "None")
     )
-    read_again = logs.clean_records(fixed.select("value", "seq", "record_ms", F.col("is_new").alias("fixed")))
-    columns = [c for c in records.columns if c != "is_new"]
-    changed = read_again.select(*columns, F.col("is_new").alias("raw_is_new"), F.col("fixed").alias("is_new"))
-    same = records.where(~claims).select(*columns, F.col("is_new").alias("raw_is_new"), "is_new")
-    return changed.unionByName(same)
+    read_again = logs.read_lines(
+        fixed.select("value", "seq", "record_ms", F.col("is_new").alias("fixed"))
+    )
+    columns = [c for c in read.columns if c != "is_new"]
+    raw = F.col("is_new").alias("raw_is_new")
+    changed = read_again.select(*columns, raw, F.col("fixed").alias("is_new"))
+    same = read.where(~claims).select(*columns, raw, "is_new")
+    records = changed.unionByName(same)
+    return records if keep_rejected else records.where(clean).drop("reject_reason")
 
 
 def first_visits(lines: DataFrame, delay: str = "24 hours") -> DataFrame:

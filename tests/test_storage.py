@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from rillhouse import schemas
 from rillhouse.operators import columns
