@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillhouse.llm import jaccard_join, toxicity
+from rillhouse.llm import decontamination, jaccard_join, sentencepiece, substring_dedup, toxicity
 from rillhouse.llm.common import table
 
 
@@ -19,9 +20,36 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_components(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.selectExpr(
+        "doc_id",
+        "coalesce(text, '') AS text",
+        "cast(n_units AS bigint) AS n_units",
+        "cast(n_removed AS bigint) AS n_removed",
+        "coalesce(array_join(transform(removed, r -> cast(r.unit AS string)), ','), '') AS removed_units",
+    )
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_decontamination": op6_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontamination": decontamination.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
+}
