@@ -7,10 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rillhouse.llm import decontamination, jaccard_join, sentencepiece, substring_dedup, toxicity
+from rillhouse.llm import (
+    decontamination,
+    jaccard_join,
+    language_mixture,
+    license_scan,
+    sentencepiece,
+    substring_dedup,
+    token_records,
+    toxicity,
+)
 from rillhouse.llm.common import table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.selectExpr("doc_id", "held_out", "score", "predicted", "size(passages) AS n_passages")
@@ -24,6 +37,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.token_records(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return kept.selectExpr(
@@ -41,12 +60,19 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_toxicity": op3_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
+    "op7_token_records": op7_token_records,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {
