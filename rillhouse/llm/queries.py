@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rillhouse.llm import (
+    block_labeller,
     decontamination,
     jaccard_join,
     language_mixture,
     license_scan,
     sentencepiece,
+    spot_signatures,
     substring_dedup,
     token_records,
     toxicity,
@@ -20,6 +22,10 @@ from rillhouse.llm import (
 from rillhouse.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_labeller.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mixture.identify(table(spark, sf_dir, "documents"))
 
@@ -29,6 +35,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "held_out", "score", "predicted", "size(passages) AS n_passages")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_components(table(spark, sf_dir, "documents"))
 
@@ -65,8 +75,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
     "op3_toxicity": op3_toxicity,
+    "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
