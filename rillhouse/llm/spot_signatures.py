@@ -3,7 +3,7 @@
 Everything is DataFrame functions. A text is lower-cased, its words joined by single spaces and
 split at runs of anchors; the three content words from each place after an anchor on, later
 anchors left out, are hashed to one signature. A fingerprint is the set of a text's signatures.
-Texts without an anchor take chains from every word, so only wordless texts have no signature.
+Texts without a word after an anchor take chains from every word, so only wordless texts have no signature.
 """
 
 from __future__ import annotations
@@ -34,27 +34,28 @@ def normal_words(text: Column) -> Column:
 def with_signatures(df: DataFrame, text: str, into: str) -> DataFrame:
     """`df` with the sorted distinct 32-bit signatures of a text column as an array column."""
     anchors = "|".join(sorted(set(ANCHORS)))
-    spans, words = f"{into}_spans", f"{into}_words"
-    cut = df.withColumn(spans, F.split(normal_words(F.col(text)), f" (?:(?:{anchors}) )+", -1))
+    normal, spans, words = f"{into}_normal", f"{into}_spans", f"{into}_words"
+    cut = df.withColumn(normal, normal_words(F.col(text)))
+    # One anchor a match: a repeated group would recurse as deep as a text repeats a word.
+    pieces = F.split(normal, f"(?<= )(?:{anchors}) ", -1)
+    cut = cut.withColumn(spans, F.filter(pieces, lambda s, i: (i == 0) | (s != "")))
+    n = F.size(spans)
 
     def joined(i: Column) -> Column:
         # Three spans after an anchor hold three content words, unless the text ends.
-        following = F.concat_ws(" ", *[F.get(spans, i + j) for j in range(CHAIN)])
+        following = F.concat_ws("", *[F.get(spans, i + j) for j in range(CHAIN)])
         return F.hash(F.substring_index(F.trim(following), " ", CHAIN))
 
     def chained(i: Column) -> Column:
         return F.hash(F.array_join(F.slice(words, i, CHAIN), " "))
 
-    n = F.size(spans)
-    # Without an anchor there is one span, whose words are all starts of chains.
-    cut = cut.withColumn(words, F.when(n == 1, F.filter(F.split(F.get(spans, F.lit(0)), " "), lambda w: w != "")))
+    # Without a word after an anchor, every word starts a chain.
+    cut = cut.withColumn(words, F.when(n == 1, F.filter(F.split(normal, " "), lambda w: w != "")))
     last = F.greatest(F.size(words) - (CHAIN - 1), F.lit(1))
     plain = F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(1), last), chained)).otherwise(F.array().cast("array<int>"))
-    # A last span without words starts no chain, unless nothing else is left.
-    ends = n - F.when((F.element_at(spans, -1) == "") & (n > 2), 2).otherwise(1)
-    anchored = F.transform(F.sequence(F.lit(1), ends), joined)
+    anchored = F.transform(F.sequence(F.lit(1), n - 1), joined)
     signatures = F.array_sort(F.array_distinct(F.when(n == 1, plain).otherwise(anchored)))
-    return cut.withColumn(into, signatures).drop(spans, words)
+    return cut.withColumn(into, signatures).drop(normal, spans, words)
 
 
 def likeness(one: str, two: str) -> Column:
