@@ -64,7 +64,7 @@ def _postings(frames: Iterator[pd.DataFrame], terms: dict[bytes, int], short: se
                 keep = keep | _kept(few, least)
             at = np.flatnonzero(keep)
             rows.append((row, doc_id, len(words), ids[at], at.astype(np.int32)))
-        yield pd.DataFrame(rows, columns=["row", "doc_id", "n_words", "terms", "places"]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(rows, columns=["row", "doc_id", "n_words", "terms", "places"])
 
 
 def build_index(docs: DataFrame, words: DataFrame, window: int = WINDOW, slack: int = 0) -> DataFrame:
@@ -80,14 +80,13 @@ def build_index(docs: DataFrame, words: DataFrame, window: int = WINDOW, slack:
     found = [(r["word"], r["term"], r["short"]) for r in words.select("word", "term", "short").toLocalIterator()]
     least = words.agg(F.min("least")).first()[0] or window
     shared = spark.sparkContext.broadcast(({bytes(w): t for w, t, _ in found}, {t for _, t, s in found if s}))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return stored(
-        rows.mapInPandas(
-            lambda f: _postings(f, *shared.value, window, least, slack),
-            "row bigint, doc_id bigint, n_words bigint, terms array<int>, places array<int>",
-        ),
-        "positional-index",
+    # Ids pass as text: beside a null, pandas would hold them as floats.
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), "text")
+    index = rows.mapInPandas(
+        lambda f: _postings(f, *shared.value, window, least, slack),
+        "row bigint, doc_id string, n_words bigint, terms array<int>, places array<int>",
     )
+    return stored(index.withColumn("doc_id", F.col("doc_id").cast("bigint")), "positional-index")
 
 
 def _matches(items: DataFrame, postings: DataFrame, window: int, slack: int) -> DataFrame:

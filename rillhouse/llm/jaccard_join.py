@@ -105,7 +105,9 @@ def _sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
         for doc_id, text in zip(frame["doc_id"], frame["text"]):
             items = shingles(text, width)
             rows.append((doc_id, len(items), set_key(items) if len(items) else None, sketch(items) if len(items) else None))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key", "sketch"]).astype({"key": "Int64"})
+        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key", "sketch"], dtype=object)
+        # Through a float, as pandas holds integers beside nulls, a key would lose its last bits.
+        yield out.assign(key=pd.array(out["key"].tolist(), "Int64"), n_shingles=out["n_shingles"].astype("int64"))
 
 
 def _signature_rows(frames: Iterator[pd.DataFrame], width: int, similarity: Fraction) -> Iterator[pd.DataFrame]:

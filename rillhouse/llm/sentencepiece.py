@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 #: Entries each worker keeps of words and of piece pairs; a full table starts anew.
-CACHED = 500_000
+CACHED = 1_000_000
 RESULT = "ids array<int>, n_tokens bigint, decoded string"
 
 

@@ -23,7 +23,7 @@ from rillhouse.llm.common import shared_folder, stored
 
 END_ID = 2
 #: Entries of the table of encoded chunks that a worker keeps; a full one starts anew.
-CACHED = 400_000
+CACHED = 1_200_000
 HEAD, ID, ENTRY, CRC = struct.Struct("<Q"), struct.Struct("<?q"), struct.Struct("<QQ"), struct.Struct("<I")
 
 
@@ -114,7 +114,8 @@ def _write(frames: Iterator[pd.DataFrame], folder: str, tokenizer: str, end_id:
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Write the shards and return their stored manifest `shard, path, records, tokens`."""
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows = rows.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # Ids pass as text: beside a null, pandas would hold them as floats.
+    rows = rows.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     written = rows.mapInPandas(lambda f: _write(f, folder, tokenizer, end_id), "shard int, path string, records bigint, tokens bigint")
     return stored(written, "manifest")
 
@@ -162,7 +163,8 @@ def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+    ids, starts, sizes, crcs = zip(*rows)
+    return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "start": starts, "n_tokens": sizes, "ids_crc32": crcs})
 
 
 def read_summary(manifest: DataFrame) -> DataFrame:
