@@ -200,33 +200,33 @@ pay AS (
                CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) AS total,
                {_clock("o_orderdate",
                        "o_orderkey * 37 % 86400 + (o_orderkey % 40 - 15) * 60")} AS paid_at
-        FROM orders WHERE o_orderkey % 7 <> 0))"""
+        FROM orders))"""
 
 DIMS = """
 users AS (
-  SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F'
+  SELECT CASE WHEN c_custkey % 13 = 0 THEN -c_custkey ELSE c_custkey END AS id, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'F'
          ELSE 'M' END AS gender,
          DATE '1960-01-01' + CAST(c_custkey * 17 % 24000 AS INTEGER) AS birthday
-  FROM customer WHERE c_custkey % 13 <> 0),
+  FROM customer),
 ages AS (
   SELECT *, CAST(trunc((epoch_ms(TIMESTAMP '2024-06-01 00:00:00')
                         - epoch_ms(CAST(birthday AS TIMESTAMP))) / 31536000000) AS INTEGER) AS age
   FROM users),
 skus AS (
-  SELECT p_partkey AS id, p_name AS sku_name, ascii(p_type) * 100 + length(p_type) AS cat,
-         p_partkey % 97 AS spu,
+  SELECT CASE WHEN p_partkey % 31 = 0 THEN -p_partkey ELSE p_partkey END AS id, p_name AS sku_name, ascii(p_type) * 100 + length(p_type) AS cat,
+         p_partkey // 20 AS spu,
          CASE WHEN p_partkey % 50 <> 7 THEN CAST(substr(p_brand, 7) AS BIGINT) END AS tm
-  FROM part WHERE p_partkey % 31 <> 0),
-spus AS (SELECT s_suppkey AS id, s_name AS name FROM supplier
-         WHERE s_suppkey < 97 AND s_suppkey % 19 <> 0),
-tms AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS id, 'tm ' || p_brand AS name
-        FROM part WHERE CAST(substr(p_brand, 7) AS BIGINT) % 9 <> 0),
+  FROM part),
+spus AS (SELECT CASE WHEN s_suppkey % 19 = 0 THEN -s_suppkey ELSE s_suppkey END AS id, s_name AS name
+         FROM supplier),
+tms AS (SELECT DISTINCT CASE WHEN n % 9 = 0 THEN -n ELSE n END AS id, name
+        FROM (SELECT CAST(substr(p_brand, 7) AS BIGINT) AS n, 'tm ' || p_brand AS name FROM part)),
 cats AS (SELECT DISTINCT ascii(p_type) * 100 + length(p_type) AS id, p_type AS name FROM part),
 ids AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id,
          CASE WHEN l_partkey % 41 <> 0 THEN l_partkey END AS sku_id,
          'sku ' || l_partkey AS sku_name, l_orderkey % 28 AS province_id,
-         l_orderkey % 1600 AS user_id
+         l_orderkey // 10 AS user_id
   FROM lineitem),
 ids_sku AS (
   SELECT ids.id, ids.sku_id, coalesce(skus.sku_name, ids.sku_name) AS sku_name,
@@ -375,7 +375,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ids_sku i LEFT JOIN cats ON cats.id = category3_id""",
         "point_lookup": """SELECT CAST(p_partkey AS VARCHAR) AS "ID", p_name AS "SKU_NAME",
             CAST(ascii(p_type) * 100 + length(p_type) AS VARCHAR) AS "CATEGORY3_ID",
-            CAST(p_partkey % 97 AS VARCHAR) AS "SPU_ID", substr(p_brand, 7) AS "TM_ID"
+            CAST(p_partkey // 20 AS VARCHAR) AS "SPU_ID", substr(p_brand, 7) AS "TM_ID"
             FROM part WHERE p_partkey = 18""",
         "order_wide": f"WITH {WIDE} SELECT * EXCLUDE (et) FROM wide",
         "payment_time_fallback": f"""WITH {ORDERS} SELECT id + 1000000000 AS id,
@@ -383,7 +383,7 @@ def oracle_sql() -> dict[str, str]:
             epoch_ms(et) AS event_ms FROM pay""",
         "payment_interval_join": f"""WITH {ORDERS} SELECT pay.id + 1000000000 AS payment_id,
             oi.id AS o_id, epoch_ms(pay.et) - epoch_ms(oi.et) AS lag_ms
-            FROM pay JOIN oi ON oi.id = pay.id
+            FROM pay JOIN oi ON oi.id = pay.id AND pay.id % 7 <> 0
              AND oi.et BETWEEN pay.et - INTERVAL 15 MINUTE AND pay.et + INTERVAL 5 SECOND""",
         "payment_wide": f"""WITH {WIDE}
             SELECT pay.id + 1000000000 AS payment_id, 'order ' || pay.id AS subject,
@@ -395,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
                 REPLACE (pay.id AS order_id, pay.user_id AS user_id,
                   CASE WHEN pay.id % 13 <> 0 THEN {_m("pay.total")} END AS total_amount),
               wide.create_time AS order_create_time
-            FROM pay JOIN wide ON wide.order_id = pay.id
+            FROM pay JOIN wide ON wide.order_id = pay.id AND pay.id % 7 <> 0
              AND wide.et BETWEEN pay.et - INTERVAL 15 MINUTE AND pay.et + INTERVAL 5 SECOND""",
         "coalesce_merge": f"""WITH {ORDERS} SELECT id AS detail_id, order_status, user_id,
             {_m("total")} AS total_amount,

@@ -20,15 +20,21 @@ def computed_once(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
 def strict_records(df: DataFrame, schema: T.StructType, into: str = "_r") -> DataFrame:
     """Read `value` as exactly one JSON object; `into` is null for anything else.
 
-    The text is read as a one-element array, which turns away text after the object, bare
-    arrays and scalars, `null`, empty lines and several objects in one line. Plain reading
-    lets most of those through. Unpacking the array with explode also keeps later filters on
-    the record above the parse, so that a line is parsed once and not once per filter.
+    The text is read as the first of two array elements; the second holds a hash of the text and
+    must come back, so the text cannot end the array early, go on after its object, or be a bare
+    array, scalar, `null` or empty. Plain reading lets most of those through. Unpacking the array
+    with explode also keeps later filters on the record above the parse, so that a line is parsed
+    once and not once per filter.
     """
-    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    read = df.withColumn("_rows", F.from_json(wrapped, T.ArrayType(schema)))
-    one = F.when(F.size("_rows") == 1, F.col("_rows"))
-    return read.select(*df.columns, F.explode_outer(one).alias(into))
+    mark = F.xxhash64("value").cast("string")
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit(',{"_mark":"'), mark, F.lit('"}]'))
+    marked = T.StructType([*schema.fields, T.StructField("_mark", T.StringType())])
+    read = df.withColumn("_rows", F.from_json(wrapped, T.ArrayType(marked)))
+    first, second = F.get("_rows", F.lit(0)), F.get("_rows", F.lit(1))
+    whole = (F.size("_rows") == 2) & first.isNotNull() & (second["_mark"] == mark)
+    one = F.when(whole, F.slice("_rows", 1, 1))
+    out = read.select(*df.columns, F.explode_outer(one).alias(into))
+    return out.withColumn(into, F.col(into).dropFields("_mark"))
 
 
 def parse_bean(df: DataFrame, schema: T.StructType, value: str = "value", *keep: str) -> DataFrame:

@@ -8,14 +8,12 @@ from pyspark.sql import types as T
 
 from rillhouse import schemas
 from rillhouse.functions.records import comma_join, in_list, json_line
-from rillhouse.operators.joins import broadcast_if_small
 
 # One-letter operation codes and target kinds.
 OPERATIONS = {"c": "create", "u": "update", "d": "delete", "r": "read"}
 TO_TOPIC = "kafka"
 TO_DIMENSION = "hbase"
 DEFAULT_KEY = "id"
-MAX_BROADCAST_RULES = 10_000
 
 
 def change_type(op: Column) -> Column:
@@ -76,9 +74,9 @@ def keep_listed(after: Column, columns: Column) -> Column:
 def match_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Attach the rule of each change; the rule columns are null where none matches.
 
-    Up to `MAX_BROADCAST_RULES` rules are broadcast; a larger table is joined as any other.
+    The planner broadcasts a small rule table and shuffles a large one.
     """
-    active = broadcast_if_small(current_rules(rules), MAX_BROADCAST_RULES, rules).select(
+    active = current_rules(rules).select(
         F.col("source_table").alias("_source"),
         F.col("operate_type").alias("_operation"),
         "sink_type",

@@ -56,19 +56,6 @@ def interval_join(
     return met.drop("_left_bucket", "_right_bucket")
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int, source: DataFrame | None = None
-) -> DataFrame:
-    """Mark a side for broadcast after counting that it has at most `max_rows` rows.
-
-    For sides whose size the planner cannot estimate. The count stops at the bound; it is
-    taken of `source` where `df` is a selection of that and counting it would cost more.
-    """
-    counted = df if source is None else source
-    small = counted.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def lookup(
     df: DataFrame,
     dim: DataFrame,

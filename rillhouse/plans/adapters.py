@@ -11,15 +11,13 @@ from pyspark.sql import functions as F
 from rillhouse import schemas
 from rillhouse.functions.times import SECONDS_FORMAT
 from rillhouse.operators.orders import with_event_time
-from rillhouse.sources.tables import spread
 
 AS_OF = "2024-06-01 00:00:00"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = f"{sf_dir}/{name}.parquet"
-    return spread(spark, spark.read.parquet(path), path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _cents(amount: Column) -> Column:
@@ -267,8 +265,8 @@ def detail_rows(lines: DataFrame) -> DataFrame:
 
 
 def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payments of most orders with `record_ms`; some have no amount, some no readable time."""
-    orders = load(spark, sf_dir, "orders").where(F.col("o_orderkey") % 7 != 0)
+    """A payment per order with `record_ms`; some have no amount, no readable time or no order."""
+    orders = load(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     seconds = (key * 37) % 86_400 + (key % 40 - 15) * 60
     paid = _clock(F.col("o_orderdate"), seconds)
@@ -276,7 +274,7 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + (seconds + 60) * 1000
     return orders.select(
         (key + 1_000_000_000).alias("id"),
-        key.alias("order_id"),
+        _unmatched(key, key % 7 == 0).alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.when(key % 13 != 0, _money(_cents(F.col("o_totalprice")))).alias("total_amount"),
         F.concat(F.lit("order "), key.cast("string")).alias("subject"),
@@ -287,16 +285,21 @@ def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _unmatched(key: Column, gap: Column) -> Column:
+    """The key, or where there is to be a gap its negative, which nothing refers to."""
+    return F.when(gap, -key).otherwise(key)
+
+
 def _text_columns(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six keyed dimension tables, all columns text, some keys missing on purpose."""
+    """The six keyed dimension tables, all columns text, some keys unmatched on purpose."""
     customer = load(spark, sf_dir, "customer")
     ckey = F.col("c_custkey")
-    users = customer.where(ckey % 13 != 0).select(
-        ckey.alias("ID"),
+    users = customer.select(
+        _unmatched(ckey, ckey % 13 == 0).alias("ID"),
         F.when(ckey % 11 == 0, None).when(ckey % 2 == 0, "F").otherwise("M").alias("GENDER"),
         F.date_add(F.lit("1960-01-01").cast("date"), (ckey * 17 % 24_000).cast("int")).alias("BIRTHDAY"),
     )
@@ -313,21 +316,22 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     pkey = F.col("p_partkey")
     brand = F.regexp_replace("p_brand", "Brand#", "")
     category = F.ascii(F.col("p_type")) * 100 + F.length("p_type")
-    skus = part.where(pkey % 31 != 0).select(
-        pkey.alias("ID"),
+    skus = part.select(
+        _unmatched(pkey, pkey % 31 == 0).alias("ID"),
         F.col("p_name").alias("SKU_NAME"),
         category.alias("CATEGORY3_ID"),
-        (pkey % 97).alias("SPU_ID"),
+        F.floor(pkey / 20).alias("SPU_ID"),
         F.when(pkey % 50 == 7, F.concat(F.lit("x"), brand)).otherwise(brand).alias("TM_ID"),
     )
     supplier = load(spark, sf_dir, "supplier")
     skey = F.col("s_suppkey")
-    spus = supplier.where((skey < 97) & (skey % 19 != 0)).select(
-        skey.alias("ID"), F.col("s_name").alias("SPU_NAME")
+    spus = supplier.select(
+        _unmatched(skey, skey % 19 == 0).alias("ID"), F.col("s_name").alias("SPU_NAME")
     )
     marks = part.groupBy("p_brand").agg(F.min(brand).alias("ID"))
-    marks = marks.where(F.col("ID").cast("int") % 9 != 0).select(
-        "ID", F.concat(F.lit("tm "), F.col("p_brand")).alias("TM_NAME")
+    number = F.col("ID").cast("int")
+    marks = marks.select(
+        _unmatched(number, number % 9 == 0).alias("ID"), F.concat(F.lit("tm "), F.col("p_brand")).alias("TM_NAME")
     )
     categories = part.groupBy("p_type").agg(F.min(category).alias("ID")).select(
         "ID", F.col("p_type").alias("NAME")

@@ -341,7 +341,7 @@ def _ids(spark, d):
         F.when(part % 41 != 0, part).alias("sku_id"),
         F.concat(F.lit("sku "), part.cast("string")).alias("sku_name"),
         (F.col("l_orderkey") % 28).alias("province_id"),
-        (F.col("l_orderkey") % 1600).alias("user_id"),
+        F.floor(F.col("l_orderkey") / 10).alias("user_id"),
     )
 
 

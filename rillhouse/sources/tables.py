@@ -8,23 +8,6 @@ from pyspark.sql import functions as F
 from rillhouse.functions.naming import camel_columns
 
 
-MIN_SPREAD_BYTES = 256 * 1024
-
-
-def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Deal a table's rows out to more tasks when its files give fewer than there are cores.
-
-    One row group cannot be split, and parsing its rows would keep one core busy and the rest
-    idle. A table of many files, or a tiny one, is left as it is. Filters and column choices
-    still reach the scan.
-    """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    by_size = fs.getContentSummary(folder).getLength() // MIN_SPREAD_BYTES
-    tasks = min(spark.sparkContext.defaultParallelism, by_size)
-    return df.repartition(tasks) if tasks > 1 and tasks > df.rdd.getNumPartitions() else df
-
-
 def jdbc_options(
     url: str,
     query: str,

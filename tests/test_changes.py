@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillhouse.operators import changes
-from rillhouse.operators.joins import broadcast_if_small
 
 RULE = (
     "source_table string, operate_type string, sink_type string, sink_table string, "
@@ -120,11 +119,3 @@ def test_dimension_table_is_text_by_key(spark):
     table = changes.dimension_table(df, changes.dimension_schema("id,name"))
     assert sorted(tuple(r) for r in table.collect()) == [("1", "b"), ("2", None)]
     assert table.columns == ["ID", "NAME"]
-
-
-def test_broadcast_only_within_the_bound(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))

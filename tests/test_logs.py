@@ -106,3 +106,16 @@ def test_line_is_parsed_once(spark):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json(") == 1, text
     assert plan.where(F.col("mid") == "m1").count() == 1
+
+
+def test_text_that_ends_the_array_early_is_dirty(spark):
+    from pyspark.sql import types as T
+
+    from rillhouse.functions.records import strict_records
+
+    good = ['{"a":1}', ' {"a":2} ', "{}"]
+    bad = ['{"a":1}] junk', '{"a":1}] , [', '{"a":1}],[{"a":1}', '{"a":1},{"a":2}', '{"a":1} x', "[1]", "null", "", "7", '{"a":1', '{"_mark":"1"}]']
+    df = spark.createDataFrame([(v,) for v in [*good, *bad]], "value string")
+    read = strict_records(df, T.StructType([T.StructField("a", T.IntegerType())])).collect()
+    assert {r.value for r in read if r._r is not None} == set(good)
+    assert read[0]._r.asDict() == {"a": 1}
