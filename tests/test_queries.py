@@ -6,12 +6,14 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+import oracles
 from rillhouse.operators import visitors
 from rillhouse.plans import adapters, lake, queries
 
 TINY = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+#: The library's own queries; those of the subpackage are tested beside it.
+QUERIES = queries.all_queries()
+ORACLE = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
