@@ -153,6 +153,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     sets = docs.select(_bit(F.col("doc_id")).alias("bit"), "text").mapInPandas(
         lambda frames: _wanted_sets(frames, width, wanted.value), "key bigint, items array<bigint>"
     )
+    # Both sides of the join read them; unstored, every text would be hashed twice.
+    sets = stored(sets, "wanted-sets")
     left = sets.select(F.col("key").alias("a"), F.col("items").alias("left_items"))
     right = sets.select(F.col("key").alias("b"), F.col("items").alias("right_items"))
     both = pairs.join(left, "a").join(right, "b")
@@ -177,6 +179,20 @@ def _close(one: str, two: str, similarity: Fraction):
     )
 
 
+def _joined_components(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components `(node, component)` of `parts` after further links `(a, b)`.
+
+    Only the links between components are closed, so what the first closure found is not walked again.
+    """
+    one = parts.select(F.col("node").alias("a"), F.col("component").alias("one"))
+    two = parts.select(F.col("node").alias("b"), F.col("component").alias("two"))
+    between = links.join(one, "a", "left").join(two, "b", "left")
+    upper = components(between.select(F.coalesce("one", "a").alias("a"), F.coalesce("two", "b").alias("b")))
+    moved = upper.select(F.col("node").alias("component"), F.col("component").alias("low"))
+    known = parts.join(moved, "component", "left").select("node", F.coalesce("low", "component").alias("component"))
+    return known.unionAll(upper.join(parts, "node", "left_anti"))
+
+
 def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY) -> DataFrame:
     """`(key, component)` of every class of equal sets that is similar to another class."""
     classes = sets.where("key is not null").groupBy("key").agg(
@@ -222,7 +238,7 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similar
     ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
     rest = stored(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
     more = stored(_verified(rest, docs, classes, width, similarity), "links")
-    whole = components(links.unionAll(more))
+    whole = _joined_components(parts, more)
     first = whole.join(classes, F.col("node") == F.col("key"))
     low = first.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return first.join(low, "component").select("key", "component_id")
