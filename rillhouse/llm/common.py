@@ -104,13 +104,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def space_word_hashes(text: str) -> np.ndarray:
-    """Hashes of the words `[^\\x20\\x09-\\x0D]+` of a text with A-Z lower-cased."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
+def space_word_hashes(lowered: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words `[^\\x20\\x09-\\x0D]+` of UTF-8 bytes, and where each word starts."""
+    data = np.frombuffer(lowered, np.uint8)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~_SPACE[data]
     edge = np.diff(inside)
-    return range_hashes(data, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))
+    starts = np.flatnonzero(edge == 1)
+    return range_hashes(data, starts, np.flatnonzero(edge == -1)), starts
 
 
 #: bytes.translate table: A-Z to a-z, other ASCII outside 0-9 and a-z to a space.

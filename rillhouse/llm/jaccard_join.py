@@ -14,7 +14,8 @@ bound the Hamming distance from below inside that join, so it emits hardly more
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -30,28 +31,88 @@ SIMILARITY = Fraction(4, 5)
 BITMAP_BITS = 1 << 26
 #: Longs of a parity sketch.
 SKETCH = 8
+#: Texts are hashed together up to about so many characters, and so many texts.
+CHUNK_CHARS, CHUNK_TEXTS = 200_000, 500
 #: Neighbours per class that the first step verifies.
 NEAREST = 3
 
 
-def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct shingle hashes; a shorter text is one shingle, a wordless one has none."""
-    words = space_word_hashes(text or "")
-    if not len(words):
-        return words
-    span = min(width, len(words))
-    with np.errstate(over="ignore"):
+def text_chunks(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """Texts in order, in lists bounded in characters and in number; a longer text is alone."""
+    chunk, size = [], 0
+    for text in texts:
+        text = text or ""
+        if chunk and (size + len(text) > CHUNK_CHARS or len(chunk) == CHUNK_TEXTS):
+            yield chunk
+            chunk, size = [], 0
+        chunk.append(text)
+        size += len(text)
+    if chunk:
+        yield chunk
+
+
+class Sets:
+    """Shingle sets of some texts: sorted distinct hashes, set after set, and the size of each.
+
+    A text of fewer words than the width is one shingle, a wordless one has none. The steps run
+    over all texts at once, as most texts are too short to be worth a numpy call of their own.
+    """
+
+    def __init__(self, texts: list[str], width: int = WIDTH):
+        raw = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+        words, starts = space_word_hashes(b" ".join(raw))
+        ends = np.cumsum([len(r) + 1 for r in raw])
+        of = np.searchsorted(ends, starts, side="right")
+        n_words = np.bincount(of, minlength=len(raw))
+        counts = np.where(n_words >= width, n_words - width + 1, np.minimum(n_words, 1))
+        before, first = np.cumsum(counts) - counts, np.cumsum(n_words) - n_words
+        items = np.empty(int(counts.sum()), np.uint64)
+        if len(words) >= width:
+            last = len(words) - width + 1
+            inside = of[:last] == of[width - 1 :]
+            items[np.repeat(n_words >= width, counts)] = self._roll(words, width)[inside]
+        for i in np.flatnonzero((n_words > 0) & (n_words < width)):
+            items[before[i]] = self._roll(words[first[i] : first[i] + n_words[i]], int(n_words[i]))[0]
+        for low, high in zip(before[counts > 1], (before + counts)[counts > 1]):
+            items[low:high].sort()
+        rows = np.repeat(np.arange(len(raw)), counts)
+        fresh = _changes(items, rows)
+        self.items, self.rows = items[fresh], rows[fresh]
+        self.sizes = np.bincount(self.rows, minlength=len(raw))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    @staticmethod
+    def _roll(words: np.ndarray, span: int) -> np.ndarray:
         rolled = np.zeros(len(words) - span + 1, np.uint64)
         for j in range(span):
             rolled = rolled * np.uint64(0xFF51AFD7ED558CCD) + words[j : len(words) - span + 1 + j]
-    return np.unique(mix(rolled + np.uint64(span)))
+        return mix(rolled + np.uint64(span))
+
+    def keys(self) -> np.ndarray:
+        """Identity of each whole set, from its size, sum and exclusive or; 0 for an empty one."""
+        out, some = np.zeros(len(self.sizes), np.int64), self.sizes > 0
+        if some.any():
+            sums = np.add.reduceat(self.items, self.starts[some])
+            odd = np.bitwise_xor.reduceat(mix(self.items), self.starts[some])
+            sizes = self.sizes[some].astype(np.uint64)
+            out[some] = mix(sizes * np.uint64(31) + mix(sums) + mix(odd + np.uint64(7))).view(np.int64)
+        return out
+
+    def sketches(self) -> np.ndarray:
+        """Parities of the counts in 64 * SKETCH blocks: they differ at most as often as the sets do."""
+        n, blocks = len(self.sizes), mix(self.items + np.uint64(0x51_7C_C1_B7)) % np.uint64(64 * SKETCH)
+        counts = np.bincount(self.rows * 64 * SKETCH + blocks.astype(np.int64), minlength=n * 64 * SKETCH)
+        return np.packbits((counts & 1).astype(np.uint8).reshape(n, 64 * SKETCH), axis=1).view(np.int64)
+
+    def of(self, i: int) -> np.ndarray:
+        return self.items[self.starts[i] : self.starts[i] + self.sizes[i]]
 
 
-def set_key(items: np.ndarray) -> int:
-    """Identity of a whole set, from its size, sum and exclusive or."""
-    with np.errstate(over="ignore"):
-        parts = np.array([len(items), np.add.reduce(items), np.bitwise_xor.reduce(mix(items))], np.uint64)
-        return int(mix(parts[:1] * np.uint64(31) + mix(parts[1:2]) + mix(parts[2:] + np.uint64(7)))[0].view(np.int64))
+def _changes(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it, or its row does."""
+    out = np.ones(len(values), bool)
+    out[1:] = (values[1:] != values[:-1]) | (rows[1:] != rows[:-1])
+    return out
 
 
 class Bands:
@@ -73,68 +134,71 @@ class Bands:
         return int(2 * (self.lows[band + 1] - 1) * (1 - self.similarity) / (1 + self.similarity))
 
 
-def signatures(items: np.ndarray, bands: Bands) -> np.ndarray:
-    """PartEnum signatures of a set, for its own band and for the one above."""
-    out = []
-    own = bands.of(len(items))
-    with np.errstate(over="ignore"):
-        for band in (own, own + 1):
-            k = bands.distance(band)
-            parts = int(1.15 * k) + 6 if k else 1
-            at = ((items >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            starts = np.flatnonzero(np.diff(at, prepend=at[:1] + np.uint64(1)))
-            sums = np.add.reduceat(mix(items), starts)
-            salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-            out.append(mix(sums + mix(at[starts] + salt)))
-            if len(starts) <= k:
-                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), at[starts])
-                out.append(mix(mix(empty + salt) ^ np.uint64(0xE703_7ED1_A0B4_28DB)))
-    return np.concatenate(out).view(np.int64)
-
-
-def sketch(items: np.ndarray) -> list[int]:
-    """Parities of the counts in 64 * SKETCH blocks: they differ at most as often as the sets do."""
-    blocks = mix(items + np.uint64(0x51_7C_C1_B7)) % np.uint64(64 * SKETCH)
-    odd = (np.bincount(blocks.astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).tolist()
+def signatures(sets: Sets, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """PartEnum signatures of each set, for its own band and for the one above, and their sets."""
+    sigs, owners = [], []
+    if not len(sets.items):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    own = np.array([bands.of(int(n)) for n in sets.sizes])
+    mixed, high = mix(sets.items), sets.items >> np.uint64(32)
+    for band in (own, own + 1):
+        k = np.array([bands.distance(b) for b in band.tolist()])
+        parts = np.where(k > 0, (1.15 * k).astype(np.int64) + 6, 1).astype(np.uint64)
+        salts = (band + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        at = (high * parts[sets.rows]) >> np.uint64(32)
+        starts = np.flatnonzero(_changes(at, sets.rows))
+        owner = sets.rows[starts]
+        sigs.append(mix(np.add.reduceat(mixed, starts) + mix(at[starts] + salts[owner])))
+        owners.append(owner)
+        occupied = np.bincount(owner, minlength=len(sets.sizes))
+        for i in np.flatnonzero((sets.sizes > 0) & (occupied <= k)):
+            empty = np.setdiff1d(np.arange(parts[i], dtype=np.uint64), at[starts[owner == i]])
+            sigs.append(mix(mix(empty + salts[i]) ^ np.uint64(0xE703_7ED1_A0B4_28DB)))
+            owners.append(np.full(len(empty), i))
+    return np.concatenate(sigs).view(np.int64), np.concatenate(owners)
 
 
 def _sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        rows = []
-        for doc_id, text in zip(frame["doc_id"], frame["text"]):
-            items = shingles(text, width)
-            rows.append((doc_id, len(items), set_key(items) if len(items) else None, sketch(items) if len(items) else None))
-        out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "key", "sketch"], dtype=object)
-        # Through a float, as pandas holds integers beside nulls, a key would lose its last bits.
-        yield out.assign(key=pd.array(out["key"].tolist(), "Int64"), n_shingles=out["n_shingles"].astype("int64"))
+        at = 0
+        for texts in text_chunks(frame["text"]):
+            sets, ids = Sets(texts, width), frame["doc_id"].iloc[at : at + len(texts)]
+            at += len(texts)
+            some = sets.sizes > 0
+            yield pd.DataFrame({
+                "doc_id": ids.array,
+                "n_shingles": sets.sizes,
+                # Through a float, as pandas holds integers beside nulls, a key would lose its last bits.
+                "key": pd.arrays.IntegerArray(sets.keys(), ~some),
+                "sketch": [s if known else None for s, known in zip(sets.sketches(), some)],
+            })
 
 
 def _signature_rows(frames: Iterator[pd.DataFrame], width: int, similarity: Fraction) -> Iterator[pd.DataFrame]:
     seen, bands = set(), Bands(similarity)
     for frame in frames:
-        for low in range(0, len(frame), 500):
-            rows = []
-            for text in frame["text"].iloc[low : low + 500]:
-                items = shingles(text, width)
-                # Copies of a set within a task give its signatures once.
-                if len(items) and (key := set_key(items)) not in seen:
+        for texts in text_chunks(frame["text"]):
+            sets = Sets(texts, width)
+            keys = sets.keys()
+            # Copies of a set within a task give its signatures once.
+            fresh = np.zeros(len(texts), bool)
+            for i in np.flatnonzero(sets.sizes):
+                if (key := int(keys[i])) not in seen:
                     seen.add(key)
-                    rows.append((key, signatures(items, bands)))
-            yield pd.DataFrame(rows, columns=["key", "sigs"])
+                    fresh[i] = True
+            sigs, owners = signatures(sets, bands)
+            chosen = fresh[owners]
+            yield pd.DataFrame({"sig": sigs[chosen], "key": keys[owners[chosen]]})
 
 
 def _wanted_sets(frames: Iterator[pd.DataFrame], width: int, wanted: dict[int, int]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for low in range(0, len(frame), 500):
-            part = frame.iloc[low : low + 500]
-            rows = []
-            for bit, text in zip(part["bit"], part["text"]):
-                if wanted.get(bit >> 6, 0) >> (bit & 63) & 1:
-                    items = shingles(text, width)
-                    if len(items):
-                        rows.append((set_key(items), items.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["key", "items"])
+        chosen = [wanted.get(bit >> 6, 0) >> (bit & 63) & 1 for bit in frame["bit"].tolist()]
+        for texts in text_chunks(itertools.compress(frame["text"], chosen)):
+            sets = Sets(texts, width)
+            some = np.flatnonzero(sets.sizes)
+            items = [sets.of(i).view(np.int64) for i in some]
+            yield pd.DataFrame({"key": sets.keys()[some], "items": items}, columns=["key", "items"])
 
 
 def _bit(doc_id):
@@ -201,8 +265,7 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similar
     classes = stored(classes, "classes")
     rows = (
         docs.select("text")
-        .mapInPandas(lambda f: _signature_rows(f, width, similarity), "key bigint, sigs array<bigint>")
-        .select(F.explode("sigs").alias("sig"), "key")
+        .mapInPandas(lambda f: _signature_rows(f, width, similarity), "sig bigint, key bigint")
     )
     by_sig = Window.partitionBy("sig").orderBy("key")
     shared = rows.select("sig", "key", F.lag("key").over(by_sig).alias("before"), F.lead("key").over(by_sig).alias("after"))
