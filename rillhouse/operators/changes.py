@@ -61,12 +61,14 @@ def current_rules(rules: DataFrame) -> DataFrame:
     return rules.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
-def keep_listed(after: Column, columns: Column) -> Column:
-    """The image with only the listed fields, value types kept, nulls left out."""
+def keep_listed(after: Column, columns: Column, nulls: bool = False) -> Column:
+    """The image with only the listed fields, value types kept; fields that are null stay on demand."""
     fields = F.from_json(after, T.MapType(T.StringType(), T.VariantType()))
     kept = F.map_filter(
         fields,
-        lambda k, v: in_list(k, columns) & v.isNotNull() & ~F.is_variant_null(v),
+        lambda k, v: in_list(k, columns)
+        if nulls
+        else in_list(k, columns) & v.isNotNull() & ~F.is_variant_null(v),
     )
     return F.to_json(kept)
 
@@ -102,13 +104,27 @@ def match_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
 def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Matched changes with `after` cut to the rule's columns, all routes in one frame.
 
-    `route` is fact, dimension or reject; a reject keeps its whole image and says why.
+    `route` is fact, dimension or reject; a reject keeps its whole image and says why. A dimension
+    image without its key is a reject. `image` of a dimension row is its `after` with nulls: they
+    overwrite a value, which a field that is absent does not.
     """
     matched = match_rules(drop_deletes(changes), rules)
+    key = F.coalesce("sink_pk", F.lit(DEFAULT_KEY))
+    named = matched.withColumn("_path", F.concat(F.lit("$."), key))
+    keyless = (F.col("route") == "dimension") & ~F.coalesce(
+        in_list(key, F.col("sink_columns")) & F.expr("get_json_object(after, _path) is not null"),
+        F.lit(False),
+    )
+    reason = F.when(keyless, "no key").otherwise(F.col("reject_reason"))
+    routed = named.withColumn("reject_reason", reason).drop("_path")
+    routed = routed.withColumn("route", F.when(F.col("reject_reason") == "no key", "reject").otherwise(F.col("route")))
     cut = F.when(F.col("route") == "reject", F.col("after")).otherwise(
         keep_listed(F.col("after"), F.col("sink_columns"))
     )
-    return matched.withColumn("after", cut)
+    image = F.when(
+        F.col("route") == "dimension", keep_listed(F.col("after"), F.col("sink_columns"), nulls=True)
+    )
+    return routed.withColumn("image", image).withColumn("after", cut)
 
 
 def facts(routed: DataFrame) -> DataFrame:
@@ -119,6 +135,11 @@ def dimension_rows(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("route") == "dimension")
 
 
+def dimension_images(routed: DataFrame) -> DataFrame:
+    """Dimension rows as an upsert needs them: `after` tells a field set to null from an absent one."""
+    return dimension_rows(routed).withColumn("after", F.col("image")).drop("image")
+
+
 def rejects(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("route") == "reject")
 
@@ -157,10 +178,27 @@ def latest_rows(changelog: DataFrame, key: Column | str, order: str = "seq") ->
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def last_columns(images: DataFrame, names: list[str], key: str, order: Column) -> DataFrame:
+    """One row per `pk`: for each column the value of the last image that has the column.
+
+    Columns are upper-case text and the key column is `pk` itself, so a filter on it reaches the
+    scan. Each map task keeps one value per key and column before the shuffle.
+    """
+    rows = images.where(F.col("pk").isNotNull()).select(
+        "pk", order.alias("_order"), F.from_json("after", "map<string,string>").alias("_fields")
+    )
+    values = (
+        F.max_by(F.col("_fields")[n], F.when(F.map_contains_key("_fields", n), F.col("_order"))).alias(n.upper())
+        for n in names
+        if n != key
+    )
+    # A row of a table that has only its key still needs an aggregate.
+    latest = rows.groupBy("pk").agg(F.max("_order").alias("_order"), *values)
+    return latest.select(*(F.col("pk" if n == key else n.upper()).alias(n.upper()) for n in names))
+
+
 def dimension_table(changelog: DataFrame, schema: T.StructType) -> DataFrame:
     """Current rows of one dimension out of its `after` images, columns as upper-case text."""
     key = next(f.name for f in schema.fields if f.metadata.get("primary_key"))
-    row = F.from_json("after", schema).alias("_row")
-    rows = changelog.select(row, "seq").select("_row.*", "seq")
-    latest = latest_rows(rows.where(F.col(key).isNotNull()), key)
-    return latest.select(*(F.col(n).alias(n.upper()) for n in schema.fieldNames()))
+    pk = F.get_json_object("after", f"$.{key}")
+    return last_columns(changelog.select(pk.alias("pk"), "after", "seq"), schema.fieldNames(), key, F.col("seq"))

@@ -295,7 +295,7 @@ def dim_upsert_fields(spark, d):
 
 @query
 def dim_latest(spark, d):
-    rows = changes.dimension_rows(_routed(spark, d))
+    rows = changes.dimension_images(_routed(spark, d))
     schema = changes.dimension_schema("id,name,seg")
     return changes.dimension_table(rows, schema)
 

@@ -1,19 +1,22 @@
-"""Dimension tables: an append-only changelog by batch, read as the latest row per key.
+"""Dimension tables: an append-only changelog by batch, read as one row per key.
 
-    <base>/schema/<table>                       layout, an empty file
+    <base>/layout                               columns, key and options of each rule seen
     <base>/changelog/batch_id=N/sink_table=X    images of one micro-batch
-    <base>/snapshot/upto=N/sink_table=X         latest images of batches up to N
+    <base>/snapshot/upto=N/sink_table=X         one merged image per key of batches up to N
+
+An upsert touches the columns that its image has; a row is the last value of each column.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillhouse.operators.changes import DEFAULT_KEY, TO_DIMENSION, current_rules, dimension_schema
+from rillhouse.functions.records import in_list
+from rillhouse.operators.changes import DEFAULT_KEY, TO_DIMENSION, current_rules, last_columns
 
 IMAGE = "after STRING, seq BIGINT, pk STRING, batch_id BIGINT, sink_table STRING"
-MAX_RULES = 10_000
+LAYOUT = "sink_table STRING, sink_columns STRING, sink_pk STRING, sink_extend STRING"
 
 
 def _names(spark: SparkSession, path: str) -> list[str]:
@@ -24,24 +27,40 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
-def create_table(spark: SparkSession, base: str, table: str, columns: str, pk: str | None = None) -> None:
-    """Create a dimension of text columns if it is not there; the key must be a column."""
-    schema = dimension_schema(columns, pk)
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(f"{base}/schema/{table}")
+def layouts(spark: SparkSession, base: str) -> DataFrame:
+    """The rules of every dimension so far: `sink_table, sink_columns, sink_pk, sink_extend`."""
+    path = f"{base}/layout"
+    spark.createDataFrame([], LAYOUT).write.mode("ignore").parquet(path)
+    return spark.read.schema(LAYOUT).parquet(path)
+
+
+def _record(spark: SparkSession, base: str, wanted: DataFrame) -> None:
+    key = F.coalesce("sink_pk", F.lit(DEFAULT_KEY))
+    bad = wanted.where(~in_list(key, F.col("sink_columns"))).first()
+    if bad:
+        raise ValueError(f"the key of {bad.sink_table} is not among its columns {bad.sink_columns}")
+    known = layouts(spark, base).alias("known")
+    same = [F.col(f"wanted.{c}").eqNullSafe(F.col(f"known.{c}")) for c in known.columns]
+    new = wanted.alias("wanted").join(known, same, "left_anti")
+    if not new.isEmpty():
+        new.write.mode("append").parquet(f"{base}/layout")
+
+
+def create_table(
+    spark: SparkSession, base: str, table: str, columns: str, pk: str | None = None, extend: str | None = None
+) -> None:
+    """Create a dimension of text columns, or add the columns to it; the key must be one of them."""
+    _record(spark, base, spark.createDataFrame([(table, columns, pk, extend)], LAYOUT))
 
 
-def create_tables(spark: SparkSession, base: str, rules: DataFrame) -> list[str]:
-    """Create the dimension of every rule in force that has one and does not exist yet."""
+def create_tables(spark: SparkSession, base: str, rules: DataFrame) -> None:
+    """Record the layout of every dimension rule in force that is not known yet.
+
+    A table has the columns of all rules it ever had, so a narrower rule takes nothing away and a
+    wider one adds its columns.
+    """
     wanted = current_rules(rules).where(F.col("sink_type") == TO_DIMENSION)
-    rows = wanted.select("sink_table", "sink_columns", "sink_pk").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} dimension rules")
-    known = set(_names(spark, f"{base}/schema"))
-    new = {r.sink_table: r for r in rows if r.sink_table not in known}
-    for row in new.values():
-        create_table(spark, base, row.sink_table, row.sink_columns, row.sink_pk)
-    return sorted(new)
+    _record(spark, base, wanted.select("sink_table", "sink_columns", "sink_pk", "sink_extend").distinct())
 
 
 def append_changes(rows: DataFrame, batch_id: int, base: str) -> None:
@@ -85,28 +104,37 @@ def images(spark: SparkSession, base: str, upto: int | None = None) -> DataFrame
     return first
 
 
-def latest_images(stored: DataFrame) -> DataFrame:
-    """Last image per table and key; earlier ones are dropped before the shuffle."""
-    order = Window.partitionBy("sink_table", "pk").orderBy(
-        F.col("batch_id").desc(), F.col("seq").desc()
+def merged_images(stored: DataFrame) -> DataFrame:
+    """One image per table and key with the last value of each column, null values included."""
+    fields = F.explode(F.from_json("after", "map<string,string>")).alias("name", "value")
+    cells = stored.where(F.col("pk").isNotNull()).select("sink_table", "pk", "batch_id", "seq", fields)
+    order = F.struct("batch_id", "seq")
+    last = cells.groupBy("sink_table", "pk", "name").agg(
+        F.max_by(F.struct("value"), order)["value"].alias("value"), F.max(order).alias("last")
     )
-    ranked = stored.where(F.col("pk").isNotNull()).withColumn("_rank", F.row_number().over(order))
-    return ranked.where("_rank = 1").drop("_rank")
+    image = F.to_json(F.map_from_entries(F.collect_list(F.struct("name", "value")))).alias("after")
+    rows = last.groupBy("sink_table", "pk").agg(image, F.max("last").alias("last"))
+    return rows.select("after", "last.seq", "pk", "last.batch_id", "sink_table")
 
 
 def compact(spark: SparkSession, base: str, upto: int) -> None:
-    """Write the latest images of all batches up to `upto` as a snapshot.
+    """Write the merged images of all batches up to `upto` as a snapshot.
 
     Readers switch to it once it is complete; older folders may then be removed.
     """
-    rows = latest_images(images(spark, base, upto))
+    rows = merged_images(images(spark, base, upto))
     folder = f"{base}/snapshot/upto={upto}"
     rows.write.mode("overwrite").partitionBy("sink_table").parquet(folder)
 
 
 def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A dimension as it is now: one row per key, upper-case text columns."""
-    schema = spark.read.parquet(f"{base}/schema/{table}").schema
-    latest = latest_images(images(spark, base).where(F.col("sink_table") == table))
-    row = latest.select(F.from_json("after", schema).alias("_row"))
-    return row.select(*(F.col(f"_row.{n}").alias(n.upper()) for n in schema.fieldNames()))
+    """A dimension as it is now: one row per key, upper-case text columns of all its rules."""
+    rules = layouts(spark, base).where(F.col("sink_table") == table)
+    column = F.posexplode(F.split("sink_columns", ",")).alias("pos", "name")
+    columns = rules.select(column).groupBy("name").agg(F.min("pos").alias("pos")).orderBy("pos", "name")
+    names = [r["name"] for r in columns.collect()]
+    if not names:
+        raise ValueError(f"no dimension {table}")
+    key = rules.select(F.coalesce(F.max("sink_pk"), F.lit(DEFAULT_KEY)).alias("key")).first()["key"]
+    stored = images(spark, base).where(F.col("sink_table") == table)
+    return last_columns(stored, names, key, F.struct("batch_id", "seq"))

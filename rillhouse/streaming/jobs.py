@@ -78,7 +78,7 @@ def route_changes(job: Job, rules_path: str, rules_format: str = "json") -> Stre
                 "record_ms",
             )
             write_topics_once(facts.unionByName(rejected), batch_id, job.topics, ROUTED_FACTS)
-            dimensions.append_changes(changes.dimension_rows(routed), batch_id, job.dims)
+            dimensions.append_changes(changes.dimension_images(routed), batch_id, job.dims)
         finally:
             routed.unpersist()
 

@@ -77,6 +77,26 @@ def test_dimension_upserts_replay_and_compact(spark, folder):
     assert now() == [("1", "z"), ("2", "c"), ("3", None)]
 
 
+def test_upsert_touches_only_its_columns(spark, folder):
+    """A narrower rule leaves the other columns; null overwrites; layouts add up; compaction changes nothing."""
+    dimensions.create_table(spark, folder, "dim_a", "id,name,seg")
+    dimensions.create_table(spark, folder, "dim_a", "id,name,level", "id", "ttl=1")
+    steps = ['{"id":1,"name":"a","seg":"s"}', '{"id":1,"name":"b"}', '{"id":1,"seg":null,"level":{"x":1}}', '{"name":"lost"}']
+    for batch, image in enumerate(steps):
+        dimensions.append_changes(changes_frame(spark, (image, 9 - batch, "dim_a", None)), batch, folder)
+        row = dimensions.read_table(spark, folder, "dim_a").first()
+        if batch == 1:
+            assert row.asDict() == {"ID": "1", "NAME": "b", "SEG": "s", "LEVEL": None}
+    want = {"ID": "1", "NAME": "b", "SEG": None, "LEVEL": '{"x":1}'}
+    for upto in (1, 3):
+        assert [r.asDict() for r in dimensions.read_table(spark, folder, "dim_a").collect()] == [want]
+        dimensions.compact(spark, folder, upto)
+    found = dimensions.read_table(spark, folder, "dim_a").where("ID = '1'")
+    assert [r.asDict() for r in found.collect()] == [want]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(pk,1)" in plan
+
+
 def test_rules_create_their_dimensions_once(spark, folder):
     layout = (
         "source_table string, operate_type string, sink_type string, sink_table string, "
@@ -88,8 +108,10 @@ def test_rules_create_their_dimensions_once(spark, folder):
         ("o", "insert", "kafka", "facts", "id", None, None, 3),
     ]
     rules = spark.createDataFrame(rows, layout)
-    assert dimensions.create_tables(spark, folder, rules) == ["dim_u"]
-    assert dimensions.create_tables(spark, folder, rules) == []
+    for _ in range(2):
+        dimensions.create_tables(spark, folder, rules)
+        assert sorted(r.sink_pk or "" for r in dimensions.layouts(spark, folder).collect()) == ["", "id"]
+    assert dimensions.read_table(spark, folder, "dim_u").columns == ["ID", "NAME"]
     bad = spark.createDataFrame([("x", "insert", "hbase", "dim_x", "a,b", None, None, 1)], layout)
     with pytest.raises(ValueError):
         dimensions.create_tables(spark, folder, bad)
