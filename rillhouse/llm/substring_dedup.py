@@ -7,12 +7,12 @@ back, and AQE splits a hot digest there, because the other side has one row per
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LINES, PARAGRAPHS = "\n", "\n\n"
-#: Shorter units repeat by chance or are headings, greetings and the like.
-MIN_WORDS = 20
+#: Shorter units (`}`, `1.`, `ja`) say nothing alone; neighbouring ones are one unit together.
+MIN_CHARS = 5
 
 
 def units(text: Column, separator: str = LINES) -> Column:
@@ -25,30 +25,47 @@ def normalised(unit: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(unit), r"\s+", " "))
 
 
-def repeated_units(docs: DataFrame, separator: str = LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def digests(docs: DataFrame, separator: str = LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+    """`doc_id, whole, pos, span, digest` of every unit, and of every run of units that are too short alone.
+
+    A run is as many neighbouring short units as there are; a blank unit ends it.
+    """
+    exploded = docs.select("doc_id", F.xxhash64("text").alias("whole"), F.posexplode(units(F.col("text"), separator)).alias("pos", "unit"))
+    long = exploded.where(F.length("unit") >= min_chars).withColumn("unit", normalised(F.col("unit")))
+    long = long.where(F.length("unit") >= min_chars).select("doc_id", "whole", "pos", F.lit(1).alias("span"), "unit")
+    # Cheap bound first: characters beside white space, which a normalised unit has all of.
+    short = exploded.where(F.length(F.translate("unit", " \t\n\x0b\f\r", "")).between(1, min_chars - 1))
+    short = short.withColumn("unit", normalised(F.col("unit"))).where(F.length("unit") < min_chars).distinct()
+    run = F.col("pos") - F.row_number().over(Window.partitionBy("doc_id", "whole").orderBy("pos"))
+    runs = short.withColumn("run", run).groupBy("doc_id", "whole", "run").agg(
+        F.min("pos").alias("pos"), F.count("*").cast("int").alias("span"),
+        F.array_join(F.sort_array(F.collect_list(F.struct("pos", "unit")))["unit"], " ").alias("unit"),
+    )
+    runs = runs.where((F.col("span") > 1) & (F.length("unit") >= min_chars)).select(*long.columns)
+    return long.unionAll(runs).select("doc_id", "whole", "pos", "span", F.unhex(F.md5("unit")).alias("digest"))
+
+
+def repeated_units(docs: DataFrame, separator: str = LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """`doc_id, whole, pos, first_doc, first_pos` of every unit that an earlier one repeats.
 
     Rank is `(doc_id, pos)`, null ids first; `whole` is a hash of the text, which tells rows of one
-    id apart. Units with fewer than `min_words` words are never repeats.
+    id apart. Blank units are never repeats, nor are ones of fewer than `min_chars` normalised
+    characters, unless their run repeats; `first_pos` is where the earlier unit or run starts.
     """
-    exploded = docs.select("doc_id", F.xxhash64("text").alias("whole"), F.posexplode(units(F.col("text"), separator)).alias("pos", "unit"))
-    # Cheap bound first: a unit of n words has at least 2n - 1 characters.
-    exploded = exploded.where(F.length("unit") >= 2 * min_words - 1).select("doc_id", "whole", "pos", normalised(F.col("unit")).alias("unit"))
-    long = exploded.where(F.size(F.split("unit", " ")) >= min_words)
-    digests = long.select("doc_id", "whole", "pos", F.unhex(F.md5("unit")).alias("digest"))
-    first = digests.groupBy("digest").agg(
+    hashed = digests(docs, separator, min_chars)
+    first = hashed.groupBy("digest").agg(
         F.min(F.struct("doc_id", "pos", "whole")).alias("first"), F.count("*").alias("n")
     )
     first = first.where("n > 1").select("digest", "first")
     own = F.struct("doc_id", "pos", "whole")
-    return (
-        digests.join(first, "digest")
-        .where(~own.eqNullSafe(F.col("first")))
-        .select("doc_id", "whole", "pos", F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"))
+    found = hashed.join(first, "digest").where(~own.eqNullSafe(F.col("first")))
+    return found.select(
+        "doc_id", "whole", F.explode(F.sequence("pos", F.col("pos") + F.col("span") - 1)).alias("pos"),
+        F.col("first.doc_id").alias("first_doc"), F.col("first.pos").alias("first_pos"),
     )
 
 
-def without_repeats(docs: DataFrame, separator: str = LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, separator: str = LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """All columns of `docs`, the text without its repeated units, and the columns beside it:
     `n_units`, `n_removed` and `removed`, an array of `(unit, start, length, first_doc, first_pos)` with
     code-point offsets into the original text.
@@ -59,27 +76,34 @@ def without_repeats(docs: DataFrame, separator: str = LINES, min_words: int = MI
     """
     fresh = [c for c in docs.columns if c not in ("n_units", "n_removed", "removed")]
     docs = docs.select(*fresh)
-    found = repeated_units(docs, separator, min_words).distinct()
-    found = found.groupBy("doc_id", "whole").agg(F.sort_array(F.collect_list(F.struct("pos", "first_doc", "first_pos"))).alias("found"))
-    found = found.select(F.col("doc_id").alias("found_id"), F.col("whole").alias("found_whole"), "found")
+    found = repeated_units(docs, separator, min_chars).distinct()
+    found = found.groupBy("doc_id", "whole").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "first_doc", "first_pos"))).alias("found"), F.collect_list("pos").alias("gone")
+    )
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("whole").alias("found_whole"), "found", "gone")
     joined = docs.alias("d").join(
         found,
         F.col("d.doc_id").eqNullSafe(F.col("found_id")) & (F.xxhash64("d.text") == F.col("found_whole")),
         "left",
     )
     parts = units(F.col("d.text"), separator)
-    gone = F.transform("found", lambda f: f["pos"])
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(gone, i))
-    width = len(separator)
-
-    def start(f: Column) -> Column:
-        before = F.slice(parts, 1, f["pos"])
-        return F.aggregate(before, F.lit(0), lambda total, unit: total + F.length(unit) + width)
-
-    removed = F.transform(
+    kept = F.filter(parts, lambda _, i: ~F.array_contains("gone", i))
+    # Where every unit stands, in one pass; those of the removed ones are in the order of `found`.
+    span = "struct<start:int,length:int>"
+    spans = F.aggregate(
+        parts,
+        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans")),
+        lambda s, unit: F.struct(
+            (s["at"] + F.length(unit) + len(separator)).alias("at"),
+            F.concat(s["spans"], F.array(F.struct(s["at"].alias("start"), F.length(unit).alias("length")))).alias("spans"),
+        ),
+        lambda s: s["spans"],
+    )
+    removed = F.zip_with(
         "found",
-        lambda f: F.struct(
-            f["pos"].alias("unit"), start(f).alias("start"), F.length(F.element_at(parts, f["pos"] + 1)).alias("length"), f["first_doc"].alias("first_doc"), f["first_pos"].alias("first_pos")
+        F.filter(spans, lambda _, i: F.array_contains("gone", i)),
+        lambda f, s: F.struct(
+            f["pos"].alias("unit"), s["start"].alias("start"), s["length"].alias("length"), f["first_doc"].alias("first_doc"), f["first_pos"].alias("first_pos")
         ),
     )
     text = F.when(F.col("found").isNull(), F.col("d.text")).otherwise(F.array_join(kept, separator))

@@ -112,6 +112,38 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted((str(r.doc_id), r.text) for r in found) == [("1", ""), ("1", ""), ("None", line)]
 
 
+def brute_repeats(texts):
+    """Text without the lines, or runs of lines of under 5 characters, that an earlier one repeats."""
+    seen, out = set(), []
+    for text in texts:
+        lines = text.split("\n")
+        norm = [re.sub(r"\s+", " ", line.lower()).strip(" ") for line in lines]
+        at, gone = 0, set()
+        while at < len(lines):
+            end = at + 1
+            while 0 < len(norm[at]) < 5 and end < len(lines) and 0 < len(norm[end]) < 5:
+                end += 1
+            unit = " ".join(norm[at:end])
+            if len(unit) >= 5 and unit in seen:
+                gone.update(range(at, end))
+            seen.add(unit)
+            at = end
+        out.append((tuple(sorted(gone)), "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    return out
+
+
+def test_short_repeats_go_too(spark):
+    passage = "Roses are red\nViolets  are blue\n\nso it\tgoes"
+    texts = [passage, f"new\n{passage.upper()}\nend of it", "1.\nja\nno\n\nrest here", "other line\n1.\nja\nno", "ja\nother text", "短い行です\n終", "短い行です"]
+    rng = random.Random(5)
+    texts += ["\n".join(rng.choice(["", " ", "a", "b ", "to  be", "or not", "Or Not", "xyz w"]) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    found = substring_dedup.without_repeats(frame(spark, texts)).orderBy("doc_id").collect()
+    assert [(tuple(s.unit for s in r.removed or ()), r.text) for r in found] == brute_repeats(texts)
+    assert found[1].text == "new\n\nend of it" and found[3].text == "other line" and found[6].text == ""
+    for row, text in zip(found, texts, strict=True):
+        assert [text[s.start : s.start + s.length] for s in row.removed or ()] == [text.split("\n")[s.unit] for s in row.removed or ()]
+
+
 # ---- decontamination
 
 
