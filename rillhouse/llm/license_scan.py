@@ -1,16 +1,20 @@
 """Licence scans: exact phrases, and an exact set-similarity join of text blocks with templates.
 
+A block is any window of a text's words, across lines, that is half as long again as the template.
 The tokens of the templates are ordered by their frequency over all documents, rarest first. A
-block that holds a share `containment` of a template's tokens must hold one of its first tokens
-(prefix filter), have enough distinct words (length filter), and still reach the share from the
-place of the first common token on (positional filter). What is left is counted exactly.
+window that holds a share `containment` of a template's tokens must hold one of its first tokens
+(prefix filter), and its text must hold enough of them anywhere (length filter) and enough from the
+place of the first common token on (positional filter). Words further than a window from every
+such first token are passed over; the windows left are counted exactly.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +23,8 @@ from pyspark.sql import functions as F
 from rillhouse.llm.common import alnum_words
 
 CONTAINMENT = 0.9
+#: Words of a window for each word of its template: room for line marks and inserted words.
+WIDTH = 1.5
 #: Phrases whose presence gives a label.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -74,24 +80,59 @@ class Matcher:
         for at, (label, tokens) in enumerate(template_sets(templates)):
             ordered = sorted(tokens, key=lambda t: (counts.get(t, 0), t))
             need = math.ceil(containment * len(ordered) - 1e-9)
-            self.templates.append((label, ordered, need))
+            n_words = len(alnum_words(templates[at][1]))
+            self.templates.append((label, ordered, need, n_words, int(WIDTH * n_words)))
             for place, token in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefixes.setdefault(token, []).append((at, place))
 
-    def blocks(self, words: list[bytes]) -> list[tuple[str, float]]:
-        """`(label, containment)` of each template that the block's words contain enough of."""
-        block, out, seen = set(words), [], set()
-        for token in self.prefixes.keys() & block:
+    def blocks(self, words: list[bytes]) -> list[tuple[int, str, float]]:
+        """`(word, label, containment)` of the windows that contain enough of a template.
+
+        Of the windows that start within a template's length of the first one, the fullest is given,
+        the last of equally full ones, and so on from the next window.
+        """
+        known, first, out = set(words), {}, []
+        for token in self.prefixes.keys() & known:
             for at, place in self.prefixes[token]:
-                label, ordered, need = self.templates[at]
-                if at in seen or len(block) < need or len(ordered) - place < need:
-                    continue
-                seen.add(at)
-                shared = len(block.intersection(ordered))
-                if shared >= need:
-                    out.append((label, shared / len(ordered)))
+                first[at] = min(place, first.get(at, place))
+        for at, place in first.items():
+            label, ordered, need, n_words, width = self.templates[at]
+            if len(known) < need or len(known.intersection(ordered[place:])) < need:
+                continue
+            best = begun = None
+            for word, shared in self._windows(words, at):
+                if best and word >= begun + n_words:
+                    out.append((best[1], label, best[0] / len(ordered)))
+                    best = None
+                if not best:
+                    begun = word
+                if not best or shared >= best[0]:
+                    best = (shared, word)
+            if best:
+                out.append((best[1], label, best[0] / len(ordered)))
         return sorted(out)
 
+    def _windows(self, words: list[bytes], at: int) -> Iterator[tuple[int, int]]:
+        """Start and number of distinct tokens of each window that starts with a token and has enough."""
+        _, ordered, need, _, width = self.templates[at]
+        tokens, prefix = set(ordered), set(ordered[: len(ordered) - need + 1])
+        near = [i for i, w in enumerate(words) if w in prefix]
+        hits = [
+            (i, w) for i, w in enumerate(words)
+            if w in tokens and bisect_right(near, i - width) < bisect_left(near, i + width)
+        ]
+        inside: Counter = Counter()
+        end = 0
+        for i, token in hits:
+            while end < len(hits) and hits[end][0] < i + width:
+                inside[hits[end][1]] += 1
+                end += 1
+            if len(inside) >= need:
+                yield i, len(inside)
+            inside[token] -= 1
+            if not inside[token]:
+                del inside[token]
+
 
 def phrase_places(words: list[bytes], phrase: list[bytes]) -> list[int]:
     """Starts of all places where the phrase's words stand consecutively."""
@@ -122,8 +163,9 @@ def scanned(counts: dict[bytes, int], text: Column, templates=TEMPLATES, contain
                     base.add(label)
             blocks = []
             if not known.isdisjoint(matcher.prefixes):
-                for line, block in enumerate(text.split("\n")):
-                    blocks += [(line, label, share) for label, share in matcher.blocks(alnum_words(block))]
+                if found := matcher.blocks(words):
+                    ends = list(accumulate(len(alnum_words(line)) for line in text.split("\n")))
+                    blocks = [(bisect_right(ends, word), label, share) for word, label, share in found]
             labels = base | {label for _, label, _ in blocks}
             score = 1.0 if base else max((share for *_, share in blocks), default=0.0)
             rows.append((
@@ -139,7 +181,7 @@ def scanned(counts: dict[bytes, int], text: Column, templates=TEMPLATES, contain
 def scan_documents(docs: DataFrame) -> DataFrame:
     """`doc_id` and the columns of RESULT for every row of `docs`.
 
-    `blocks` lists the lines that reach a template's threshold. Null and empty texts have no words,
+    `blocks` lists the windows that reach a template's threshold, by the line they start in. Null and empty texts have no words,
     labels or places. Repeated rows and null ids stay; other columns are ignored.
     """
     counts = token_counts(docs)

@@ -359,6 +359,40 @@ def test_licences_equal_brute_force(spark):
     assert license_scan.scan_documents(empty(spark)).count() == 0
 
 
+def test_licences_of_windows_equal_brute_force(spark):
+    mit = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General\nPublic License"
+    rng = random.Random(6)
+    spread = prose(rng, 400).split()
+    for k, word in enumerate(license_scan.TEMPLATES[6][1].split()):
+        spread[20 * k] = word
+    released = "Released under the MIT License\n"
+    texts = [mit, bsd, gpl, " ".join(spread), prose(rng, 3000) + " " + mit.replace("\n", " ") + " " + prose(rng, 50), released * 2]
+    words = " ".join(t for _, t in license_scan.TEMPLATES).split()
+    for _ in range(80):
+        w = rng.choice(license_scan.TEMPLATES)[1].split()
+        for _ in range(rng.choice([0, 1, 3, 8])):
+            w.insert(rng.randrange(len(w)), rng.choice(words))
+        del w[: rng.choice([0, 0, 1, 2])]
+        w = prose(rng, rng.choice([0, 30]), words).split() + w + prose(rng, rng.choice([0, 300])).split()
+        texts.append("".join(x + rng.choice([" ", " ", " ", "\n"]) for x in w))
+    found = license_scan.scan_documents(frame(spark, texts)).orderBy("doc_id").collect()
+    for row, text in zip(found, texts, strict=True):
+        w, want, most = re.findall("[a-z0-9]+", text.lower()), set(filter(None, row.base_labels.split(","))), 0.0
+        for label, template in license_scan.TEMPLATES:
+            need = set(template.split())
+            share = max(len(need & set(w[i : i + len(template.split()) * 3 // 2])) for i in range(len(w))) / len(need)
+            if share >= license_scan.CONTAINMENT:
+                want.add(label)
+                most = max(most, share)
+        assert row.labels == ",".join(sorted(want)) and max((b.containment for b in row.blocks), default=0.0) == most
+        assert row.score == (1.0 if row.n_base else most)
+    assert [found[i].labels for i in (0, 1, 3, 4)] == ["mit-notice", "bsd-notice", "", "mit-notice"] and "gpl-notice" in found[2].labels
+    assert [(b.line, b.label, b.containment) for b in found[5].blocks] == [(0, "mit-notice", 1.0), (1, "mit-notice", 1.0)]
+    assert (found[0].blocks[0].line, found[4].blocks[0].containment) == (0, 1.0)
+
+
 # ---- spot signatures
 
 
