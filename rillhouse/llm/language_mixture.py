@@ -3,8 +3,9 @@
 Each learned language has trigram probabilities, smoothed and hashed into a fixed number of
 buckets. A document is a mixture: each of its words comes from one language, with the likelihood
 of the word's trigrams. Expectation-maximisation estimates the proportions of all languages, then
-of the sets of the one, two, ... most probable ones; the set with the greatest likelihood less a
-penalty for each further language is chosen.
+of the sets of the one, two, ... up to all most probable ones; the set with the greatest likelihood
+less a penalty for each further language is chosen. A document is left alone once the penalty of a
+larger set outweighs the greatest likelihood that any mixture could reach.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from rillhouse.llm.common import id_remainder, mix, stored
 BUCKETS = 1 << 16
 #: Bound of the sample that each language is learned from, chosen by a hash of the id.
 TRAIN_DOCS = 2_000
-STEPS, RESTRICTED_STEPS, MOST = 12, 6, 3
+STEPS, RESTRICTED_STEPS = 12, 6
 #: Documents are estimated together up to about so many characters.
 CHUNK_CHARS = 200_000
 UNKNOWN = "und"
@@ -115,16 +116,29 @@ def mixtures(table: np.ndarray, texts: list[str]) -> list[tuple[np.ndarray, np.n
     everything = np.ones((len(full), table.shape[1]))
     share, _ = _shares(like, doc_starts, of, sizes, everything, STEPS)
     order = np.argsort(-share, axis=1, kind="stable")
-    best, best_share = np.full(len(full), -np.inf), share
-    for k in range(1, min(MOST, table.shape[1]) + 1):
-        allowed = np.zeros_like(everything)
-        np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
+    best, best_share = np.full(len(full), -np.inf), share.copy()
+    penalty = 0.5 * np.log(sizes) + 2.0
+    # By concavity no mixture is likelier than this, whatever its shares.
+    total = (like * share[of]).sum(axis=1, keepdims=True)
+    slope = np.add.reduceat(like / total, doc_starts, axis=0) / sizes[:, None]
+    bound = np.add.reduceat(np.log(total[:, 0]), doc_starts) + sizes * np.log(slope.max(axis=1))
+    left = np.arange(len(full))
+    for k in range(1, table.shape[1] + 1):
+        more = bound[left] - (k - 1) * penalty[left] > best[left]
+        if not more.any():
+            break
+        if not more.all():
+            like, left = like[more[of]], left[more]
+            of = np.repeat(np.arange(len(left)), sizes[left])
+            doc_starts = np.cumsum([0, *sizes[left][:-1]])
+        allowed = np.zeros((len(left), table.shape[1]))
+        np.put_along_axis(allowed, order[left, :k], 1.0, axis=1)
         steps = RESTRICTED_STEPS if k > 1 else 1
-        part, gain = _shares(like, doc_starts, of, sizes, allowed + 1e-12, steps)
-        gain = gain - (k - 1) * (0.5 * np.log(sizes) + 2.0)
-        better = gain > best
-        best = np.where(better, gain, best)
-        best_share = np.where(better[:, None], part * allowed, best_share)
+        part, gain = _shares(like, doc_starts, of, sizes[left], allowed, steps)
+        gain = gain - (k - 1) * penalty[left]
+        better = gain > best[left]
+        best[left] = np.where(better, gain, best[left])
+        best_share[left] = np.where(better[:, None], part, best_share[left])
     for at, i in enumerate(full):
         out[i] = (share[at], best_share[at] / best_share[at].sum())
     return out

@@ -272,6 +272,21 @@ def test_languages_of_held_out_rows(spark):
     assert language_mixture.identify(empty(spark)).count() == 0
 
 
+def test_documents_of_many_languages(spark):
+    docs, words = languages(spark)
+    rng = random.Random(9)
+    for k, letters in (("dd", "fghij"), ("ee", "pqrstu"), ("ff", "äöüßñ")):
+        words[k] = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(80)]
+        docs = docs.unionAll(frame(spark, [(1000 * ord(k[0]) + i, prose(rng, 30, words[k])) for i in range(80)], k))
+    names, shares = sorted(words), {4: (4, 3, 2, 1), 5: (5, 4, 3, 2, 1), 6: (1, 1, 1, 1, 1, 1)}
+    texts = [(-n, " ".join(" ".join(words[k][:80] * x) for k, x in zip(names, shares[n]))) for n in shares]
+    more = docs.unionAll(frame(spark, texts, None))
+    found = {r.doc_id: r.languages for r in language_mixture.identify(more).where("doc_id < 0").collect()}
+    for n, parts in shares.items():
+        assert {x.lang for x in found[-n]} == set(names[:n])
+        assert all(abs(x.share - parts[names.index(x.lang)] / sum(parts)) < 0.03 for x in found[-n])
+
+
 # ---- token records
 
 
