@@ -19,13 +19,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.select(*COLUMNS).where(toxicity.scored(model, F.col("text"))["predicted"] == 0)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """Write and reread the documents with a `row` that tells rows of one id apart."""
+    return stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), name)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of near copies.
+    """Keep one row of each component of near copies, of the smallest id.
 
-    Rows without an id are in no component and stay.
+    Rows of one id are documents of their own. Rows without an id are in no component and stay.
     """
-    found = jaccard_join.near_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti").select(*COLUMNS)
+    docs = numbered(docs, "near-rows")
+    ids = docs.where("doc_id is not null").select("row", "doc_id")
+    near = jaccard_join.near_components(docs.where("doc_id is not null").select(F.col("row").alias("doc_id"), "text"))
+    near = stored(near.select(F.col("doc_id").alias("row"), "component_id"), "near-components")
+    several = near.where("row <> component_id").select("component_id").distinct()
+    members = near.join(several, "component_id").join(ids, "row")
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "row"))["row"].alias("first"))
+    found = members.join(first, "component_id").where("row <> first").select("row")
+    return docs.join(found, "row", "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +48,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a window of a benchmark item."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    found = found.where("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Drop the rows that hold a window of a benchmark item."""
+    docs = numbered(docs, "test-rows")
+    found = decontamination.contamination(docs.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = found.where("contaminated").select(F.col("doc_id").alias("row"))
+    return docs.join(found, "row", "left_anti").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

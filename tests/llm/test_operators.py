@@ -501,3 +501,20 @@ def test_pipeline_stages(spark, folder):
     assert found[501].decoded == "another" and found[500].decoded == extra[0][1]
     kept = [i for i in found if i < 200]
     assert sum(i % 4 == 0 for i in kept) <= 2 and sum(i % 4 != 0 for i in kept) >= 148
+
+
+def test_pipeline_drops_rows_not_ids(spark, folder):
+    import corpus_pipeline
+
+    def stage(f, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        return sorted(((r.doc_id, r.text) for r in f(spark, docs, folder).collect()), key=str)
+
+    copy, own, other = ("".join(f" {c}{i}" for i in range(30)) for c in "abc")
+    rows = [(3, copy), (3, own), (2, copy + " more"), (2, copy), (7, other), (7, other), (None, copy), (9, None), (9, None)]
+    found = stage(corpus_pipeline.drop_near_copies, rows)
+    assert [i for i, _ in found] == [2, 3, 7, 9, 9, None] and (3, own) in found and (None, copy) in found
+    leak = " ".join(f"q{i}" for i in range(12))
+    spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(1, leak), (1, own), (None, leak), (None, own), (2, None)]
+    assert stage(corpus_pipeline.drop_contaminated, rows) == sorted([(1, own), (None, own), (2, None)], key=str)
