@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from rillhouse.llm import (
     block_labeller,
     decontamination,
+    fill_in_middle,
     jaccard_join,
     language_mixture,
     license_scan,
+    pruned_graph,
     sentencepiece,
+    spelling_variants,
     spot_signatures,
     substring_dedup,
     token_records,
@@ -74,6 +77,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pruned_graph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
@@ -85,9 +100,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_license_scan": op10_license_scan,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op6_decontamination": decontamination.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
+    "op11_fill_in_middle": fill_in_middle.ORACLE,
 }
