@@ -61,9 +61,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.selectExpr(
         "doc_id",
         "coalesce(text, '') AS text",
-        "cast(n_units AS bigint) AS n_units",
-        "cast(n_removed AS bigint) AS n_removed",
-        "coalesce(array_join(transform(removed, r -> cast(r.unit AS string)), ','), '') AS removed_units",
+        "n_words",
+        "n_removed",
+        "cast(size(passages) AS bigint) AS n_passages",
+        "array_join(transform(passages, p -> concat(p.start, ':', p.length)), ',') AS passages",
     )
 
 

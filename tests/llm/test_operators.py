@@ -94,54 +94,67 @@ def test_jaccard_without_ids_and_rows(spark):
 # ---- substring dedup
 
 
-def test_repeated_lines_go_but_the_first(spark):
-    line = " ".join(f"w{i}" for i in range(30))
-    texts = [f"head\n{line}\ntail", f"{line.upper()}  \nrest", f"x\n{line}\n{line}", None, "", "head"]
-    docs = frame(spark, texts)
-    found = {r.doc_id: r for r in substring_dedup.without_repeats(docs).collect()}
-    assert found[0].text == texts[0] and found[0].n_removed == 0
-    assert (found[1].text, found[2].text, found[3].text, found[4].text, found[5].text) == ("rest", "x", None, "", "head")
-    spans = [(s.start, s.length, s.first_doc, s.first_pos) for s in found[2].removed]
-    assert [texts[2][a : a + n] for a, n, _, _ in spans] == [line, line] and {s[2:] for s in spans} == {(0, 1)}
-    assert found[1].lang == "en" and substring_dedup.without_repeats(empty(spark)).count() == 0
+def brute_passages(rows, length):
+    """`(text, n_removed, [(start, length, first_doc)])` of every row, rows in order of `(doc_id, place)`."""
+    seen, out = {}, {}
+    for i, text in rows:
+        spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+        low = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text[a:b]) for a, b in spans]
+        gone, source = set(), {}
+        for k in range(len(low) - length + 1):
+            first = seen.setdefault(tuple(low[k : k + length]), (i, k))
+            if first != (i, k):
+                gone.update(range(k, k + length))
+                source.setdefault(k, first[0])
+        passages, kept, at, k = [], "", 0, 0
+        while k < len(spans):
+            if k in gone:
+                e = k
+                while e in gone:
+                    e += 1
+                passages.append((spans[k][0], spans[e - 1][1] - spans[k][0], source[k]))
+                kept, at, k = kept + text[at : spans[k][0]], spans[e - 1][1], e
+            else:
+                k += 1
+        out[i] = (None if text is None else kept + text[at:], len(gone), passages)
+    return out
 
 
-def test_repeated_rows_and_null_ids(spark):
-    line = " ".join(f"w{i}" for i in range(30))
-    found = substring_dedup.without_repeats(frame(spark, [(None, line), (1, line), (1, line)])).collect()
-    assert sorted((str(r.doc_id), r.text) for r in found) == [("1", ""), ("1", ""), ("None", line)]
+@pytest.mark.parametrize("length", [5, 8, 51])
+def test_passages_equal_brute_force(spark, length):
+    rng = random.Random(length)
+    passages = [prose(rng, n) for n in (length - 1, length, length + 1, 2 * length, 5 * length)]
+    spaced = [re.sub(" ", lambda m: rng.choice([" ", "\n", "  ", "\t"]), p) for p in passages]
+    texts = odd_texts()
+    for k in range(60):
+        parts = [prose(rng, rng.randint(0, 2 * length)), rng.choice(passages + spaced), prose(rng, rng.randint(0, 9)), rng.choice(passages).upper()]
+        texts.append(rng.choice([" ", ", ", "\n"]).join(parts[: rng.randint(1, 4)]))
+    texts += [texts[-1], texts[-1], passages[-1], passages[-1] + " " + passages[-1], "a b " * 3 * length]
+    want = brute_passages(list(enumerate(texts)), length)
+    docs = frame(spark, texts)
+    found = {r.doc_id: (r.text, r.n_removed, [(p.start, p.length, p.first_doc) for p in r.passages]) for r in substring_dedup.without_repeats(docs, length).collect()}
+    assert found == want
+    assert any(len(p) > 1 for _, _, p in want.values()) and sum(bool(n) for _, n, _ in want.values()) > 20
 
 
-def brute_repeats(texts):
-    """Text without the lines, or runs of lines of under 5 characters, that an earlier one repeats."""
-    seen, out = set(), []
-    for text in texts:
-        lines = text.split("\n")
-        norm = [re.sub(r"\s+", " ", line.lower()).strip(" ") for line in lines]
-        at, gone = 0, set()
-        while at < len(lines):
-            end = at + 1
-            while 0 < len(norm[at]) < 5 and end < len(lines) and 0 < len(norm[end]) < 5:
-                end += 1
-            unit = " ".join(norm[at:end])
-            if len(unit) >= 5 and unit in seen:
-                gone.update(range(at, end))
-            seen.add(unit)
-            at = end
-        out.append((tuple(sorted(gone)), "\n".join(x for i, x in enumerate(lines) if i not in gone)))
-    return out
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    line = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, line), (1, line), (1, line), (1, "x " + line), (2, "short line"), (3, "short line")]
+    docs = frame(spark, rows)
+    found = substring_dedup.without_repeats(docs)
+    assert sorted((str(r.doc_id), r.text, r.n_removed) for r in found.collect()) == [
+        ("1", "", 60), ("1", "", 60), ("1", "x ", 60), ("2", "short line", 0), ("3", "short line", 0), ("None", line, 0)]
+    assert found.columns == [c for c in docs.columns if c != "n_removed"] + ["n_words", "n_removed", "passages"]
+    assert {p.first_doc for r in found.collect() for p in r.passages} == {None}
+    assert substring_dedup.without_repeats(empty(spark)).count() == 0
 
 
-def test_short_repeats_go_too(spark):
-    passage = "Roses are red\nViolets  are blue\n\nso it\tgoes"
-    texts = [passage, f"new\n{passage.upper()}\nend of it", "1.\nja\nno\n\nrest here", "other line\n1.\nja\nno", "ja\nother text", "短い行です\n終", "短い行です"]
-    rng = random.Random(5)
-    texts += ["\n".join(rng.choice(["", " ", "a", "b ", "to  be", "or not", "Or Not", "xyz w"]) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+def test_texts_of_many_lines(spark):
+    rng = random.Random(2)
+    lines = [prose(rng, 6) for _ in range(100_000)]
+    texts = ["\n".join(lines), "\n".join(prose(rng, 6) for _ in range(50_000)) + "\n" + "\n".join(lines[500:])]
     found = substring_dedup.without_repeats(frame(spark, texts)).orderBy("doc_id").collect()
-    assert [(tuple(s.unit for s in r.removed or ()), r.text) for r in found] == brute_repeats(texts)
-    assert found[1].text == "new\n\nend of it" and found[3].text == "other line" and found[6].text == ""
-    for row, text in zip(found, texts, strict=True):
-        assert [text[s.start : s.start + s.length] for s in row.removed or ()] == [text.split("\n")[s.unit] for s in row.removed or ()]
+    assert found[0].text == texts[0] and found[1].n_removed == 6 * 99_500
 
 
 # ---- decontamination
@@ -488,9 +501,9 @@ def test_pipeline_stages(spark, folder):
 
     docs, labels = toxic_table(spark, 200)
     docs = docs.selectExpr("doc_id", "text", "lang", "'s' AS source", "cast(length(text) AS bigint) AS n_chars", "1 AS more")
-    line = " ".join(f"w{i}" for i in range(25))
+    line = " ".join(f"w{i}" for i in range(60))
     leak = "q1 q2 q3 q4 q5 q6 q7 q8 q9 q10 q11"
-    own = " ".join(f"v{i}" for i in range(15))
+    own = " ".join(f"v{i}" for i in range(25))
     extra = [(500, f"{line}\n{own}"), (501, f"another\n{line}"), (502, f"so {leak} on"), (503, "p " * 30), (504, "p " * 30), (505, None)]
     docs = docs.unionAll(spark.createDataFrame([(i, t, "en", "s", 1, 1) for i, t in extra], docs.schema))
     docs.write.parquet(f"{folder}/documents.parquet")
@@ -498,7 +511,7 @@ def test_pipeline_stages(spark, folder):
     spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
     found = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
     assert [i in found for i in (500, 501, 502, 503, 504, 505)] == [True, True, False, True, False, True]
-    assert found[501].decoded == "another" and found[500].decoded == extra[0][1]
+    assert found[501].decoded == "another\n" and found[500].decoded == extra[0][1]
     kept = [i for i in found if i < 200]
     assert sum(i % 4 == 0 for i in kept) <= 2 and sum(i % 4 != 0 for i in kept) >= 148
 
