@@ -124,6 +124,8 @@ def repeated_units(docs: DataFrame, classes: DataFrame, length: int = LENGTH) ->
     found = stored(found, "seeds")
     spot = F.struct("class", "place")
     shared = found.groupBy("seed").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).where("low <> high").select("seed")
+    # Stored, so that the join has a plain exchange on both sides and a hot seed can be split.
+    shared = stored(shared, "shared-seeds")
     places = found.join(shared, "seed").groupBy("class").agg(F.collect_set("place").alias("places"))
     places = places.join(classes, "class").select("class", F.col("first_id").alias("id"), "places")
     # One row of each class has the smallest id, so a class of many copies meets as one text.
@@ -131,6 +133,7 @@ def repeated_units(docs: DataFrame, classes: DataFrame, length: int = LENGTH) ->
     units = stored(units.mapInPandas(lambda f: _unit_rows(f, length), "digest bigint, id bigint, class binary, place int"), "units")
     spot = F.struct("id", "class", "place")
     first = units.groupBy("digest").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first <> last").select("digest", "first")
+    first = stored(first, "first-units")
     marked = units.join(first, "digest").where(spot != F.col("first"))
     mark = F.struct("place", F.col("first.id").alias("first_id"))
     return marked.groupBy("class").agg(F.sort_array(F.collect_set(mark)).alias("marks"))
