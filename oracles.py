@@ -328,6 +328,18 @@ def oracle_sql() -> dict[str, str]:
         "cdc_no_delete": f'{change} SELECT seq, "tableName", type FROM kept',
         "rule_match": f"""{change} SELECT seq, "tableName", type, sink_type, sink_table
             FROM routed WHERE sink_type IS NOT NULL""",
+        "rule_match_as_of": f"""{change}, versions (source, operation, low, high, sink_type, sink_table, sink_columns) AS (VALUES
+              ('customer', 'insert', 0, 120, 'hbase', 'dim_user_info', 'id,name'),
+              ('customer', 'insert', 120, 240, 'hbase', 'dim_user_info', 'id,name,seg'),
+              ('customer', 'insert', 400, NULL, 'kafka', 'dwd_customer', 'id,cents'),
+              ('customer', 'update', 300, NULL, 'hbase', 'dim_user_info', 'id,name,seg'),
+              ('orders', 'insert', 0, NULL, 'kafka', 'dwd_order_info', 'id,user_id,cents'),
+              ('orders', 'update', 0, 700, 'kafka', 'dwd_order_info', 'id,status'))
+            SELECT seq, "tableName", type,
+              CASE v.sink_type WHEN 'kafka' THEN 'fact' WHEN 'hbase' THEN 'dimension' ELSE 'reject' END AS route,
+              CASE WHEN v.sink_type IS NULL THEN 'no rule' END AS reject_reason, v.sink_table, v.sink_columns
+            FROM kept LEFT JOIN versions v ON source = "tableName" AND operation = type
+              AND seq >= low AND seq < coalesce(high, 9223372036854775807)""",
         "rule_rejects": f"""{change} SELECT seq, "tableName", type, reject_reason FROM routed
             WHERE reject_reason IS NOT NULL""",
         "rule_column_filter": f"""{change} SELECT seq, sink_table, cut AS after FROM routed
@@ -339,11 +351,20 @@ def oracle_sql() -> dict[str, str]:
         "fact_topics": f"""{change} SELECT sink_table AS topic, cut AS value, seq FROM routed
             WHERE sink_type = 'kafka'""",
         "dim_upsert_fields": f"""{change} SELECT seq, upper(sink_table) AS sink_table,
-            CASE WHEN name IS NULL THEN 'id,seg' ELSE 'id,name,seg' END AS fields
+            CASE WHEN name IS NULL THEN 'id,seg' ELSE 'id,name,seg' END AS fields,
+            concat_ws(',', CAST(id AS VARCHAR), name, seg) AS values
             FROM routed WHERE sink_type = 'hbase'""",
         "dim_latest": f"""{change} SELECT CAST(id AS VARCHAR) AS "ID", name AS "NAME",
             seg AS "SEG" FROM routed WHERE sink_type = 'hbase'
             QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1""",
+        **dict.fromkeys(("dim_store_restart", "dim_store_compacted"), f"""{change} SELECT CAST(id AS VARCHAR) AS "ID", name AS "NAME",
+            seg AS "SEG" FROM routed WHERE sink_type = 'hbase'
+            QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1"""),
+        "dim_store_partial_update": """SELECT CAST(c_custkey AS VARCHAR) AS "ID",
+            CASE WHEN c_custkey % 10 < 4 THEN 'new ' || c_name ELSE c_name END AS "NAME",
+            CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS "SEG" FROM customer""",
+        "dim_store_layout": f"""{change} SELECT 'dim_user_info' AS sink_table, 'id,name,seg' AS sink_columns,
+            CAST(2 AS BIGINT) AS n_rules, count(DISTINCT id) AS n_keys FROM routed WHERE sink_type = 'hbase'""",
         "bean_parse": f"""WITH {ORDERS} SELECT id AS seq, id, province_id, order_status, user_id,
             {_m("total")} AS total_amount, {_m("act")} AS activity_reduce_amount,
             {_m("cou")} AS coupon_reduce_amount,
@@ -407,6 +428,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT seq, mid, raw_is_new, is_new FROM fixed""",
         "stream_unique_visit": f"{marks} SELECT mid, dt FROM marks WHERE is_visit",
         "stream_user_jump": f"{marks} SELECT seq FROM marks WHERE is_bounce",
+        "stream_visitor_stats": _stats(SIX_HOURS, SIX_HOURS),
+        "stream_late_rows": f"""WITH {RECORDS}, marks AS (
+              SELECT m.file, max(rec.ts) - 20 * 86400000 AS mark FROM (VALUES (1), (2), (3)) AS m(file)
+              JOIN rec ON seq % 4 < m.file GROUP BY m.file)
+            SELECT seq, coalesce(ts <= mark, false) AS late, ts, CASE WHEN ts <= mark THEN mark END AS missed_ms
+            FROM rec LEFT JOIN marks ON file = seq % 4""",
         "stream_page_stats": f"""{marks}, shaped AS ({PV}),
             binned AS (SELECT *, ts - ts % {SIX_HOURS} AS w FROM shaped)
             SELECT strftime(make_timestamp(w * 1000), {SECONDS}) AS stt,

@@ -73,20 +73,40 @@ def keep_listed(after: Column, columns: Column, nulls: bool = False) -> Column:
     return F.to_json(kept)
 
 
-def match_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
+def rule_versions(rule_changes: DataFrame) -> DataFrame:
+    """Rules with the positions they hold for, `[valid_from, valid_to)`, out of their own change log.
+
+    The log has a rule's columns, `deleted`, the position `valid_from` of the change stream from
+    which it holds, and `rule_seq`, which settles two changes of one position. A version ends where
+    the next one of its table and operation begins; a deletion leaves a gap until the rule is back.
+    """
+    key = ("source_table", "operate_type")
+    spot = Window.partitionBy(*key, "valid_from").orderBy(F.col("rule_seq").desc())
+    last = rule_changes.withColumn("_rank", F.row_number().over(spot)).where("_rank = 1").drop("_rank")
+    following = F.lead("valid_from").over(Window.partitionBy(*key).orderBy("valid_from"))
+    return last.withColumn("valid_to", following).where(~F.coalesce("deleted", F.lit(False))).drop("deleted")
+
+
+def match_rules(changes: DataFrame, rules: DataFrame, position: str = "seq") -> DataFrame:
     """Attach the rule of each change; the rule columns are null where none matches.
 
-    The planner broadcasts a small rule table and shuffles a large one.
+    Rules with `valid_from` and `valid_to`, as `rule_versions` gives them, are matched as of the
+    change's `position`, so a replay routes as the first run did; others are the rules of now. The
+    planner broadcasts a small rule table and shuffles a large one.
     """
-    active = current_rules(rules).select(
+    dated = "valid_to" in rules.columns
+    active = (rules if dated else current_rules(rules)).select(
         F.col("source_table").alias("_source"),
         F.col("operate_type").alias("_operation"),
         "sink_type",
         "sink_table",
         "sink_columns",
         "sink_pk",
+        *([F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")] if dated else []),
     )
     same = (F.col("tableName") == F.col("_source")) & (F.col("type") == F.col("_operation"))
+    if dated:
+        same &= (F.col(position) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(position) < F.col("_to")))
     return changes.join(active, same, "left").withColumn(
         "route",
         F.when(F.col("_source").isNull(), "reject")
@@ -98,7 +118,7 @@ def match_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(F.col("_source").isNull(), "no rule").when(
             F.col("route") == "reject", "unknown sink type"
         ),
-    ).drop("_source", "_operation")
+    ).drop("_source", "_operation", "_from", "_to")
 
 
 def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
@@ -165,6 +185,12 @@ def listed_fields(after: Column) -> Column:
     return comma_join(F.json_object_keys(after))
 
 
+def listed_values(after: Column) -> Column:
+    """Field values of an image in the order of `listed_fields`, comma separated; a null is an empty text."""
+    fields = F.from_json(after, "map<string,string>")
+    return F.array_join(F.transform(F.json_object_keys(after), lambda k: F.coalesce(fields[k], F.lit(""))), ",")
+
+
 def latest_rows(changelog: DataFrame, key: Column | str, order: str = "seq") -> DataFrame:
     """The last version of each key.
 

@@ -61,16 +61,20 @@ def union_shaped(visits: DataFrame, jumps: DataFrame, pages: DataFrame) -> DataF
     )
 
 
+def timed(shaped: DataFrame, delay: str | None = None) -> DataFrame:
+    """The event time `et` beside a shaped row, with a watermark in a stream."""
+    rows = shaped.withColumn("et", F.timestamp_millis("ts"))
+    return rows if delay is None else rows.withWatermark("et", delay)
+
+
 def window_stats(shaped: DataFrame, window: str = WINDOW, delay: str | None = None) -> DataFrame:
     """Sum the measures per tumbling window and dimensions, in the result table's layout.
 
-    `delay` sets the watermark of a stream and is left out for a batch. `ts` is the earliest
-    event time of the group.
+    `delay` sets the watermark of a stream and is left out for a batch, and for rows that are
+    `timed` already. `ts` is the earliest event time of the group.
     """
-    timed = shaped.withColumn("et", F.timestamp_millis("ts"))
-    if delay is not None:
-        timed = timed.withWatermark("et", delay)
-    summed = timed.groupBy(F.window("et", window).alias("w"), *DIMENSIONS).agg(
+    rows = shaped if "et" in shaped.columns else timed(shaped, delay)
+    summed = rows.groupBy(F.window("et", window).alias("w"), *DIMENSIONS).agg(
         *(F.sum(m).alias(m) for m in MEASURES), F.min("ts").alias("ts")
     )
     bounds = (format_instant(F.col("w.start")).alias("stt"), format_instant(F.col("w.end")).alias("edt"))

@@ -208,6 +208,23 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, f"{layout}, rule_seq BIGINT")
 
 
+def rule_changes(spark: SparkSession) -> DataFrame:
+    """The change log of the rules: one is widened, one deleted and back as a fact, one corrected at once."""
+    rows = [
+        ("customer", "insert", "hbase", "dim_user_info", "id,name", "id", None, 1, 0, False),
+        ("customer", "insert", "hbase", "dim_user_info", "id,name,seg", "id", None, 2, 120, False),
+        ("customer", "insert", None, None, None, None, None, 3, 240, True),
+        ("customer", "insert", "kafka", "dwd_customer", "id,cents", None, None, 4, 400, False),
+        ("customer", "update", "hbase", "dim_user_info", "id,name,seg", None, None, 5, 300, False),
+        ("orders", "insert", "clickhouse", "ck_orders", "id", None, None, 6, 0, False),
+        ("orders", "insert", "kafka", "dwd_order_info", "id,user_id,cents", None, None, 7, 0, False),
+        ("orders", "update", "kafka", "dwd_order_info", "id,status", None, None, 8, 0, False),
+        ("orders", "update", None, None, None, None, None, 9, 700, True),
+    ]
+    layout = ", ".join(f"{n} STRING" for n in schemas.RULE.fieldNames())
+    return spark.createDataFrame(rows, f"{layout}, rule_seq BIGINT, valid_from BIGINT, deleted BOOLEAN")
+
+
 def _clock(day: Column, seconds: Column) -> Column:
     """A whole day plus seconds, as text."""
     at = F.timestamp_seconds(F.unix_seconds(day.cast("timestamp")) + seconds)

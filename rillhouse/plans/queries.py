@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from rillhouse import schemas
 from rillhouse.functions import naming, records, times
 from rillhouse.operators import changes, columns, joins, logs, orders, stats, visitors
 from rillhouse.plans import adapters, warehouse
+from rillhouse.session import checkpoint_root
+from rillhouse.sinks import dimensions
 
 # The tables' own tempo: hours between a user's events, days between an order and its lines.
 HORIZON_MS = 6 * 3_600_000
@@ -253,6 +256,14 @@ def rule_match(spark, d):
     )
 
 
+@query
+def rule_match_as_of(spark, d):
+    """Each change by the rule that held at its position, while rules change, go and come back."""
+    versions = changes.rule_versions(adapters.rule_changes(spark))
+    routed = changes.match_rules(changes.drop_deletes(_changes(spark, d)), versions)
+    return routed.select("seq", "tableName", "type", "route", "reject_reason", "sink_table", "sink_columns")
+
+
 @query
 def rule_rejects(spark, d):
     return changes.rejects(_routed(spark, d)).select("seq", "tableName", "type", "reject_reason")
@@ -290,6 +301,7 @@ def dim_upsert_fields(spark, d):
     return rows.select(
         "seq", F.upper("sink_table").alias("sink_table"),
         changes.listed_fields(F.col("after")).alias("fields"),
+        changes.listed_values(F.col("after")).alias("values"),
     )
 
 
@@ -300,6 +312,73 @@ def dim_latest(spark, d):
     return changes.dimension_table(rows, schema)
 
 
+def _store(spark, table, columns, pk="id"):
+    base = f"{checkpoint_root(spark)}/dims-{uuid.uuid4().hex}"
+    dimensions.create_table(spark, base, table, columns, pk)
+    return base
+
+
+def _images(df, table, *fields):
+    return df.select(records.json_line(*fields).alias("after"), F.lit(0).cast("bigint").alias("seq"), F.lit(table).alias("sink_table"), F.lit("id").alias("sink_pk"))
+
+
+@query
+def dim_store_restart(spark, d):
+    """The user dimension when its job is restarted with a new checkpoint, whose batches count anew."""
+    base = _store(spark, "dim_user_info", "id,name,seg")
+    rows = changes.dimension_images(_routed(spark, d))
+    first, second = rows.where("type = 'insert'"), rows.where("type = 'update'")
+    for _ in range(2):
+        dimensions.append_changes(first, 0, base, "one")
+    dimensions.append_changes(first.where("false"), 1, base, "one")
+    dimensions.compact(spark, base)
+    for _ in range(2):
+        dimensions.append_changes(second, 0, base, "two")
+    return dimensions.read_table(spark, base, "dim_user_info")
+
+
+@query
+def dim_store_compacted(spark, d):
+    """The user dimension out of many batches, merged on the way, with what was merged removed."""
+    base = _store(spark, "dim_user_info", "id,name,seg")
+    rows = changes.dimension_images(_routed(spark, d))
+    steps = [rows.where(f"type = '{t}' and seq div 4 % 3 = {i}") for t in ("insert", "update") for i in range(3)]
+    for batch, step in enumerate(steps):
+        dimensions.append_changes(step, batch, base, "one")
+        dimensions.merge(spark, base, fan_in=2)
+    dimensions.vacuum(spark, base)
+    return dimensions.read_table(spark, base, "dim_user_info")
+
+
+@query
+def dim_store_partial_update(spark, d):
+    """Images of some columns: the others stay, a null overwrites, and a merge keeps both apart."""
+    base = _store(spark, "dim_user_info", "id,name,seg")
+    key = F.col("c_custkey")
+    users = adapters.load(spark, d, "customer").select(key.alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg"))
+    renamed = users.where("id % 10 < 4").withColumn("name", F.concat(F.lit("new "), "name"))
+    cleared = users.where("id % 5 = 0").select(
+        F.concat(F.lit('{"id":'), "id", F.lit(',"seg":null}')).alias("after"), F.lit(0).cast("bigint").alias("seq"),
+        F.lit("dim_user_info").alias("sink_table"), F.lit("id").alias("sink_pk"),
+    )
+    dimensions.append_changes(_images(users, "dim_user_info", "id", "name", "seg"), 0, base)
+    dimensions.append_changes(_images(renamed, "dim_user_info", "id", "name"), 1, base)
+    dimensions.append_changes(cleared, 2, base)
+    dimensions.compact(spark, base, upto=1)
+    return dimensions.read_table(spark, base, "dim_user_info")
+
+
+@query
+def dim_store_layout(spark, d):
+    """The tables that the rules made, with what their rows hold."""
+    base = f"{checkpoint_root(spark)}/dims-{uuid.uuid4().hex}"
+    dimensions.create_tables(spark, base, adapters.rules(spark))
+    dimensions.append_changes(changes.dimension_images(_routed(spark, d)), 0, base)
+    names = dimensions.layouts(spark, base).groupBy("sink_table", "sink_columns").agg(F.count("*").alias("n_rules"))
+    counts = dimensions.merged_images(dimensions.images(spark, base)).groupBy("sink_table").agg(F.count("*").alias("n_keys"))
+    return names.join(counts, "sink_table", "left")
+
+
 @query
 def bean_parse(spark, d):
     """Order beans out of their JSON text."""
@@ -396,7 +475,13 @@ def lookup_category(spark, d):
 
 @query
 def point_lookup(spark, d):
-    return joins.point_lookup(_dims(spark, d)["DIM_SKU_INFO"], "18")
+    """One key of the stored sku dimension, in the key range that holds it."""
+    base = _store(spark, "dim_sku_info", "id,sku_name,category3_id,spu_id,tm_id")
+    skus = _dims(spark, d)["DIM_SKU_INFO"].toDF("id", "sku_name", "category3_id", "spu_id", "tm_id")
+    for batch, part in enumerate((skus.where("id % 2 = 0"), skus.where("id % 2 <> 0"))):
+        dimensions.append_changes(_images(part, "dim_sku_info", *skus.columns), batch, base)
+    dimensions.compact(spark, base)
+    return joins.point_lookup(dimensions.read_table(spark, base, "dim_sku_info"), "18")
 
 
 def _order_wide(spark, d):

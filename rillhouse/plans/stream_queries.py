@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import uuid
 
@@ -9,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillhouse import schemas
-from rillhouse.operators import logs, orders, stats
-from rillhouse.plans import adapters
+from rillhouse.operators import logs, orders, stats, visitors
+from rillhouse.plans import adapters, warehouse
 from rillhouse.plans.queries import DETAIL_BOUND_MS, HORIZON_MS, WINDOW, _doubles, query
 from rillhouse.session import ROCKSDB, checkpoint_root
-from rillhouse.streaming import operators
+from rillhouse.sinks.topics import write_topics
+from rillhouse.sources.topics import LATE, ON_TIME, Topics, read_topic
+from rillhouse.streaming import jobs, operators
 
 LAST_MS = 4_102_444_800_000  # 2100-01-01, past every event
 LAST_MID = "~last"
+LATE_MS = 20 * 86_400_000
 
 
 def _finish(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
@@ -76,6 +80,61 @@ def stream_page_stats(spark, d):
     return _finish(spark, rows, folder).where(F.col("ts") < LAST_MS)
 
 
+def _publish(spark: SparkSession, rows: DataFrame, topic: str, group: str, topics: Topics, parts: int, last: bool = True) -> None:
+    """Rows `value, seq, ts` as a topic, one stretch of time after the other, so that files arrive in order."""
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    width = ((high or 0) - (low or 0)) // parts + 1
+    named = rows.select(F.lit(topic).alias("topic"), "value", "seq", "ts")
+    for part in range(parts):
+        write_topics(named.where(F.expr(f"(ts - {low or 0}) div {width} = {part}")), topics, group)
+    if last:
+        text = json.dumps({"common": {"mid": LAST_MID}, "page": {"last_page_id": "x"}, "ts": LAST_MS})
+        write_topics(spark.createDataFrame([(topic, text, -1)], "topic string, value string, seq bigint"), topics, group)
+
+
+def _job(spark: SparkSession, folder: str) -> jobs.Job:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return jobs.Job(spark, Topics(f"{folder}/topics"), f"{folder}/dims", f"{folder}/checkpoints", max_files=2)
+
+
+@query
+def stream_visitor_stats(spark, d):
+    """Statistics over three topics, of which the bounces come in more and later files."""
+    folder = _folder(spark)
+    job = _job(spark, folder)
+    routed = logs.routed_lines(warehouse.corrected_records(adapters.raw_log_lines(spark, d)))
+    lines = routed.where(F.col("topic") == schemas.DWD_PAGE).select("value", "seq")
+    lines.write.parquet(f"{folder}/pages")
+    pages = logs.page_logs(logs.clean_records(spark.read.parquet(f"{folder}/pages")))
+    _publish(spark, pages, schemas.DWD_PAGE, "dwd_log", job.topics, 2)
+    _publish(spark, visitors.first_visits(pages), schemas.DWM_VISIT, "dwm_unique_visit", job.topics, 2)
+    _publish(spark, visitors.bounces(pages, HORIZON_MS), schemas.DWM_JUMP, "dwm_user_jump_detail", job.topics, 4)
+    jobs.visitor_stats(job, f"{folder}/out", WINDOW).awaitTermination()
+    names = schemas.VISITOR_STATS.fieldNames()
+    return spark.read.parquet(f"{folder}/out").select(*names).where(F.col("ts") < LAST_MS)
+
+
+@query
+def stream_late_rows(spark, d):
+    """A shuffled topic split by the watermark: rows on time, and late ones with what they missed."""
+    folder = _folder(spark)
+    job = _job(spark, folder)
+    job = dataclasses.replace(job, max_files=1)
+    lines = logs.clean_records(adapters.raw_log_lines(spark, d)).select("value", "seq")
+    lines = lines.withColumn("topic", F.lit(schemas.ODS_LOG))
+    for part in range(4):
+        write_topics(lines.where(F.col("seq") % 4 == part).coalesce(1), job.topics, "ods_log")
+    jobs.split_late(job, schemas.ODS_LOG, LATE_MS).awaitTermination()
+    on_time = read_topic(spark, job.topics, schemas.ODS_LOG + ON_TIME).select(
+        "seq", F.lit(False).alias("late"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"), F.lit(None).cast("bigint").alias("missed_ms")
+    )
+    late = read_topic(spark, job.topics, schemas.ODS_LOG + LATE).select(
+        "seq", F.lit(True).alias("late"), F.get_json_object(F.get_json_object("value", "$.value"), "$.ts").cast("bigint").alias("ts"),
+        F.get_json_object("value", "$.missed_ms").cast("bigint").alias("missed_ms"),
+    )
+    return on_time.unionAll(late)
+
+
 @query
 def stream_order_interval_join(spark, d):
     info = adapters.order_rows(adapters.load_stream(spark, d, "orders"))

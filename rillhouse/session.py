@@ -17,6 +17,8 @@ COMMON = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A query over several inputs waits for the slowest one.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
     # The Python state worker talks over a socket file, not a TCP port.
     "spark.python.unix.domain.socket.enabled": "true",
     # Recording a call site per column call more than doubles the time to build a plan.

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 from rillhouse.operators.columns import drop_transient
 
-MIN_BATCH = 1000
+#: Rows of one insert; small batches are slow, but the size is the caller's choice.
+BATCH = 1000
 
 
 def write_files(df: DataFrame, batch_id: int, folder: str) -> None:
@@ -15,9 +16,9 @@ def write_files(df: DataFrame, batch_id: int, folder: str) -> None:
 
 
 def jdbc_writer_options(
-    url: str, table: str, driver: str | None = None, batch_size: int = MIN_BATCH
+    url: str, table: str, driver: str | None = None, batch_size: int = BATCH
 ) -> dict[str, str]:
-    options = {"url": url, "dbtable": table, "batchsize": str(max(batch_size, MIN_BATCH))}
+    options = {"url": url, "dbtable": table, "batchsize": str(batch_size)}
     return options | ({"driver": driver} if driver else {})
 
 

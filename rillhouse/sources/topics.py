@@ -37,6 +37,12 @@ GROUPS = {
     schemas.DWM_PAYMENT_WIDE: "dwm_payment_wide",
 }
 ROUTED_FACTS = "dwd_db"
+ON_TIME, LATE = "_on_time", "_late"
+
+
+def timed_group(topic: str) -> str:
+    """The group of a topic's two halves, on time and late."""
+    return f"timed_{topic}"
 
 
 @dataclass(frozen=True)
@@ -48,6 +54,9 @@ class Topics:
     options: dict[str, str] = field(default_factory=dict)
 
     def folder(self, topic: str) -> str:
+        for end in (ON_TIME, LATE):
+            if topic.endswith(end):
+                return f"{self.base}/{timed_group(topic.removesuffix(end))}"
         return f"{self.base}/{GROUPS.get(topic, ROUTED_FACTS)}"
 
     def group_folder(self, group: str) -> str:

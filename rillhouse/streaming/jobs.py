@@ -14,7 +14,7 @@ from rillhouse.operators import changes, logs, orders, stats
 from rillhouse.sinks import dimensions, results
 from rillhouse.sinks.topics import start_topics, write_topics_once
 from rillhouse.sources.tables import read_rules
-from rillhouse.sources.topics import ROUTED_FACTS, Topics, stream_topic
+from rillhouse.sources.topics import ROUTED_FACTS, Topics, stream_topic, timed_group
 from rillhouse.streaming import operators
 
 
@@ -28,9 +28,16 @@ class Job:
     checkpoints: str
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     max_files: int | None = None
+    #: Where a query without a checkpoint starts on Kafka; its checkpoint decides from then on.
+    start: str = "earliest"
 
     def read(self, topic: str, group: str) -> DataFrame:
-        return stream_topic(self.spark, self.topics, topic, group, max_files=self.max_files)
+        return stream_topic(self.spark, self.topics, topic, group, self.start, self.max_files)
+
+    def run_of(self, name: str) -> str:
+        """The id that a query's checkpoint was given when it was made: what its batch ids belong to."""
+        metadata = self.spark.read.text(f"{self.checkpoints}/{name}/metadata", wholetext=True)
+        return metadata.select(F.get_json_object("value", "$.id")).first()[0]
 
     def write(self, rows: DataFrame, group: str) -> StreamingQuery:
         return start_topics(rows, self.topics, group, self.checkpoints, self.trigger)
@@ -78,7 +85,8 @@ def route_changes(job: Job, rules_path: str, rules_format: str = "json") -> Stre
                 "record_ms",
             )
             write_topics_once(facts.unionByName(rejected), batch_id, job.topics, ROUTED_FACTS)
-            dimensions.append_changes(changes.dimension_images(routed), batch_id, job.dims)
+            dimensions.append_changes(changes.dimension_images(routed), batch_id, job.dims, job.run_of("route_changes"))
+            dimensions.merge(spark, job.dims)
         finally:
             routed.unpersist()
 
@@ -96,23 +104,69 @@ def user_jumps(job: Job, delay: str = "2 seconds", **how) -> StreamingQuery:
 
 
 def visitor_stats(
-    job: Job, folder: str, window: str = stats.WINDOW, delay: str = "11 seconds"
+    job: Job,
+    folder: str,
+    window: str = stats.WINDOW,
+    delay: str = "11 seconds",
+    jump_delay: str = "21 seconds",
 ) -> StreamingQuery:
     """Windowed statistics to files.
 
-    A timed-out bounce reaches its topic after the horizon and that job's own delay, 12 s at
-    the usual settings; give 13 s or more to count the bounces of a window's last second.
+    Each input has a watermark of its own, and the slowest one counts: a window stays open until
+    visits, bounces and pages are all past it, however late the bounces' job runs. `delay` is only
+    how far rows of one topic may be out of order; a bounce may be a horizon more, as one that
+    times out is written after later ones that did not. A topic without rows holds all windows.
     """
     visits, jumps, pages = (
         logs.clean_records(job.read(topic, "visitor_stats"))
         for topic in (schemas.DWM_VISIT, schemas.DWM_JUMP, schemas.DWD_PAGE)
     )
-    rows = stats.window_stats(stats.union_shaped(visits, jumps, pages), window, delay)
+    rows = (
+        stats.timed(stats.shape_visits(visits), delay)
+        .unionByName(stats.timed(stats.shape_bounces(jumps), jump_delay))
+        .unionByName(stats.timed(stats.shape_pages(pages), delay))
+    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         results.write_files(batch, batch_id, folder)
 
-    return job.each_batch(rows, "visitor_stats", handle)
+    return job.each_batch(stats.window_stats(rows, window), "visitor_stats", handle)
+
+
+def split_late(job: Job, topic: str, delay_ms: int, event_ms: Column | None = None) -> StreamingQuery:
+    """A topic's rows to `<topic>_on_time` and `<topic>_late`, by the watermark Spark would hold them to.
+
+    The watermark of a batch is the latest event time of the batches before it less the delay; it
+    is stored with each batch, so a repeated batch is split as before. A late row goes out as
+    `{"value", "event_ms", "missed_ms"}` with the watermark it missed. Rows without a time are on
+    time: the reader's own rules say what becomes of them.
+    """
+    own = event_ms if event_ms is not None else F.get_json_object("value", "$.ts").try_cast("bigint")
+    name, marks = f"split_{topic}", f"{job.checkpoints}/split_{topic}-marks"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        spark.createDataFrame([], "high BIGINT").write.mode("ignore").parquet(f"{marks}/batch_id=-1")
+        before = spark.read.schema("high BIGINT, batch_id BIGINT").parquet(marks)
+        high = before.where(F.col("batch_id") == batch_id - 1).agg(F.max("high")).first()[0]
+        rows = batch.withColumn("event_ms", own).persist()
+        try:
+            late = F.lit(False) if high is None else F.coalesce(F.col("event_ms") <= high - delay_ms, F.lit(False))
+            missed = F.lit(None if high is None else high - delay_ms).cast("bigint").alias("missed_ms")
+            report = json_line("value", "event_ms", "missed_ms")
+            out = rows.select("*", missed).select(
+                F.when(late, f"{topic}_late").otherwise(f"{topic}_on_time").alias("topic"),
+                F.when(late, report).otherwise(F.col("value")).alias("value"),
+                "seq",
+                "record_ms",
+            )
+            write_topics_once(out, batch_id, job.topics, timed_group(topic))
+            top = rows.agg(F.greatest(F.max("event_ms"), F.lit(high).cast("bigint")).alias("high"))
+            top.write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
+
+    return job.each_batch(job.read(topic, name), name, handle)
 
 
 def _timed_beans(lines: DataFrame, schema, delay: str) -> DataFrame:

@@ -77,6 +77,51 @@ def test_dimension_upserts_replay_and_compact(spark, folder):
     assert now() == [("1", "z"), ("2", "c"), ("3", None)]
 
 
+def test_a_new_run_counts_batches_anew(spark, folder):
+    """After a restart with a new checkpoint batches start at 0 again; repeated ones of a run add nothing."""
+    dimensions.create_table(spark, folder, "dim_a", "id,name")
+
+    def put(run, batch, key, name):
+        image = f'{{"id":{key},"name":"{name}"}}'
+        return dimensions.append_changes(changes_frame(spark, (image, 1, "dim_a", None)), batch, folder, run)
+
+    def now():
+        return sorted(tuple(r) for r in dimensions.read_table(spark, folder, "dim_a").collect())
+
+    assert put("one", 0, 1, "a") and put("one", 1, 2, "b") and not put("one", 1, 2, "x")
+    dimensions.compact(spark, folder)
+    assert put("two", 0, 2, "c") and not put("two", 0, 2, "y")
+    assert now() == [("1", "a"), ("2", "c")]
+    dimensions.compact(spark, folder)
+    assert dimensions.vacuum(spark, folder) == 4
+    assert not put("two", 0, 2, "y") and not put("one", 1, 2, "x") and put("two", 1, 3, "d")
+    assert now() == [("1", "a"), ("2", "c"), ("3", "d")]
+    assert dimensions.vacuum(spark, folder) == 0
+
+
+def test_merging_reads_only_what_came_since(spark, folder):
+    dimensions.create_table(spark, folder, "dim_a", "id,name")
+    for batch in range(9):
+        image = f'{{"id":{batch % 4},"name":"n{batch}"}}'
+        dimensions.append_changes(changes_frame(spark, (image, 1, "dim_a", None)), batch, folder, "r")
+        dimensions.merge(spark, folder, fan_in=3)
+    # Nine commits: three merges of the first level, and their three into one of the second.
+    live = dimensions.live_commits(spark, folder)
+    assert [(r.number, r.level) for r in live] == [(8, 2)]
+    assert dimensions.images(spark, folder).count() == 4
+    got = sorted(tuple(r) for r in dimensions.read_table(spark, folder, "dim_a").collect())
+    assert got == [("0", "n8"), ("1", "n5"), ("2", "n6"), ("3", "n7")]
+
+
+def test_an_unfinished_batch_is_not_read(spark, folder):
+    dimensions.create_table(spark, folder, "dim_a", "id,name")
+    rows = changes_frame(spark, ('{"id":1,"name":"a"}', 1, "dim_a", None))
+    dimensions.append_changes(rows, 0, folder, "r")
+    lost = rows.selectExpr("'{\"id\":1,\"name\":\"lost\"}' AS after", "9L AS seq", "'1' AS pk", "1L AS number", "sink_table")
+    lost.write.partitionBy("sink_table").parquet(f"{folder}/images/commit=000000000001-crashed")
+    assert [r.NAME for r in dimensions.read_table(spark, folder, "dim_a").collect()] == ["a"]
+
+
 def test_upsert_touches_only_its_columns(spark, folder):
     """A narrower rule leaves the other columns; null overwrites; layouts add up; compaction changes nothing."""
     dimensions.create_table(spark, folder, "dim_a", "id,name,seg")
@@ -142,7 +187,7 @@ def test_jdbc_options():
     assert (got["lowerBound"], got["upperBound"], got["driver"]) == ("0", "100", "d")
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:x", "select 1", partition_column="id")
-    assert results.jdbc_writer_options("jdbc:x", "t", batch_size=5)["batchsize"] == "1000"
+    assert results.jdbc_writer_options("jdbc:x", "t", batch_size=5)["batchsize"] == "5"
 
 
 def test_first_load_as_inserts(spark):
