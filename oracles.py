@@ -113,6 +113,24 @@ SELECT CASE k % 8 WHEN 0 THEN left(line, length(line) - 1) WHEN 1 THEN '[' || li
             ELSE 'no event time' END AS reject_reason
 FROM line"""
 
+# Texts of a record and of its i-th display, as they leave the split.
+LINE = """'{' || concat_ws(',',
+    '"common":{"mid":"' || mid || '","is_new":"' || is_new || '","vc":"' || vc || '","ch":"' || ch || '","ar":"' || ar
+      || '","os" : "x\\"{,"}',
+    CASE WHEN page_id IS NOT NULL THEN '"page":{' || concat_ws(',', '"page_id":"' || kind || '"',
+      CASE WHEN k % 10 = 3 THEN '"last_page_id":null' WHEN last_page_id IS NOT NULL THEN '"last_page_id":"' || last_page_id || '"' END,
+      '"during_time":' || during_time) || '}' END,
+    CASE WHEN kind = 'purchase' AND k % 9 = 0 THEN '"displays":[{"item":"i' || k || '"}]'
+      WHEN kind <> 'view' OR k % 4 = 3 THEN NULL WHEN k % 4 = 0 THEN '"displays":[]'
+      WHEN k % 4 = 1 THEN '"displays":[{"item":"i' || k || '","pos":1,"flag":true,"deep":{"a":[1.50,"}"]}}]'
+      ELSE '"displays":[{"item":"i' || k || '","pos":1},{"page_id":"old","item":"i' || k || '","pos":2}]' END,
+    CASE WHEN kind = 'signup' THEN '"start":' || coalesce(start, 'null') END,
+    CASE WHEN k % 6 = 0 THEN '"extra":{"n": 1.50}, "extra":[1,{"d":null}]' END,
+    '"ts":' || ts) || '}'"""
+SHOWN = """'{"item":"i' || k || '"' || CASE WHEN kind = 'view' THEN ',"pos":' || i ELSE '' END
+    || CASE WHEN kind = 'view' AND k % 4 = 1 THEN ',"flag":true,"deep":{"a":[1.50,"}"]}' ELSE '' END
+    || ',"page_id":' || coalesce('"' || page_id || '"', 'null') || '}'"""
+
 DISPLAYS = RECORDS + """,
 shown AS (
   SELECT rec.*, i FROM rec, unnest(range(1, n_displays + 1)) AS t(i)
@@ -285,15 +303,16 @@ def oracle_sql() -> dict[str, str]:
         "log_start": f"WITH {RECORDS} SELECT seq, mid, start, ts FROM rec WHERE start IS NOT NULL",
         "log_page": f"{pages} SELECT seq, mid, page_id, last_page_id, during_time, ts FROM pages",
         "log_display": f"""WITH {DISPLAYS} SELECT seq, 'i' || k AS item,
-            CASE WHEN kind = 'view' THEN CAST(i AS VARCHAR) END AS pos, page_id FROM shown""",
+            CASE WHEN kind = 'view' THEN CAST(i AS VARCHAR) END AS pos, page_id,
+            {SHOWN} AS display FROM shown""",
         "log_topics": f"""WITH {FIXED}, shown AS (
               SELECT fixed.*, i FROM fixed, unnest(range(1, n_displays + 1)) AS t(i)
               WHERE start IS NULL AND n_displays > 0)
             SELECT CASE WHEN start IS NULL THEN 'dwd_page_log' ELSE 'dwd_start_log' END AS topic,
                    seq, mid, is_new, ts, page_id AS page_page_id, NULL::VARCHAR AS item,
-                   NULL::VARCHAR AS display_page_id FROM fixed
+                   NULL::VARCHAR AS display_page_id, {LINE} AS value FROM fixed
             UNION ALL
-            SELECT 'dwd_display_log', seq, NULL, NULL, NULL, NULL, 'i' || k, page_id FROM shown""",
+            SELECT 'dwd_display_log', seq, NULL, NULL, NULL, NULL, 'i' || k, page_id, {SHOWN} FROM shown""",
         "entry_pages": f"{pages} SELECT seq, mid, ts FROM pages WHERE entry",
         "unique_visit": f"{marks} SELECT seq, mid, dt, ts, page_id FROM marks WHERE is_visit",
         "user_jump": f"{marks} SELECT seq, mid, ts, page_id FROM marks WHERE is_bounce",

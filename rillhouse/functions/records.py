@@ -66,11 +66,78 @@ def comma_join(items: Column) -> Column:
     return F.array_join(items, ",")
 
 
+#: How deep a field's value may be nested for its text to be walked; deeper ones are read as variants.
+DEPTH = 8
+_TEXT = r'"(?:[^"\\]|\\.)*+"'
+_INSIDE = rf'(?:[^"{{}}\[\]]|{_TEXT})*+'
+for _ in range(DEPTH - 1):
+    _INSIDE = rf'(?:[^"{{}}\[\]]|{_TEXT}|[{{\[]{_INSIDE}[}}\]])*+'
+_VALUE = rf'(?:{_TEXT}|[{{\[]{_INSIDE}[}}\]]|[^\s",:{{}}\[\]]++)'
+_NAME = rf"\s*+{_TEXT}\s*+:\s*+"
+
+
+def text_fields(value: Column) -> Column:
+    """The fields of one JSON object text as they are spelled, `"name":value`, in order.
+
+    Quantifiers are possessive: a field is walked once and never backtracks. Null for a text whose
+    fields are not all found, such as one that is nested too deep.
+    """
+    bare = F.regexp_replace(value, r"\A\s+|\s+\z", "")
+    inside = F.substring(bare, F.lit(2), F.length(bare) - 2)
+    found = F.regexp_extract_all(inside, F.lit(rf"{_NAME}{_VALUE}\s*+"), F.lit(0))
+    whole = bare.startswith("{") & bare.endswith("}") & (F.array_join(found, ",") == inside)
+    return F.when(whole, found).when(F.trim(inside) == "", F.array().cast("array<string>"))
+
+
+def array_items(value: Column) -> Column:
+    """The items of one JSON array text as they are spelled; null as for `text_fields`."""
+    bare = F.regexp_replace(value, r"\A\s+|\s+\z", "")
+    inside = F.substring(bare, F.lit(2), F.length(bare) - 2)
+    found = F.regexp_extract_all(inside, F.lit(rf"\s*+{_VALUE}\s*+"), F.lit(0))
+    whole = bare.startswith("[") & bare.endswith("]") & (F.array_join(found, ",") == inside)
+    return F.when(whole, found).when(F.trim(inside) == "", F.array().cast("array<string>"))
+
+
+def field_text(value: Column, field: str) -> Column:
+    """The value of a field of an object text as it is spelled, the last one of a repeated name."""
+    own = F.element_at(F.filter(text_fields(value), lambda f: _named(f, field)), -1)
+    return F.regexp_replace(own, rf"\A{_NAME}", "")
+
+
+def _named(field_text: Column, name: str) -> Column:
+    return F.regexp_extract(field_text, rf"\A\s*+({_TEXT})", 1) == f'"{name}"'
+
+
+def _object_text(fields: Column) -> Column:
+    return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
+
+
+def put_text_field(value: Column, field: str, new: Column) -> Column:
+    """An object text with `field` last and as given; one of that name that it has already goes."""
+    others = F.filter(text_fields(value), lambda f: ~_named(f, field))
+    return _object_text(F.concat(others, F.array(F.concat(F.lit(f'"{field}":'), new))))
+
+
 def set_text_field(value: Column, parent: str, field: str, new: str) -> Column:
-    """Set one string field of one nested object in a JSON text, other fields untouched.
+    """Set one string field of one nested object in a JSON text; all else stays as it is spelled.
 
-    Null when the text cannot be held as a variant (for example a repeated key).
+    The field is written over where it stands, and where a name is repeated, in each place. A text
+    that is nested too deep is edited as a variant, which may print numbers shorter; null when the
+    text cannot be held as one either.
     """
+
+    def edited(outer: Column) -> Column:
+        name = F.regexp_extract(outer, rf"\A{_NAME}", 0)
+        inner = text_fields(F.substring(outer, F.length(name) + 1, F.length(outer)))
+        done = F.transform(inner, lambda f: F.when(_named(f, field), f'"{field}":"{new}"').otherwise(f))
+        return F.when(_named(outer, parent), F.concat(name, _object_text(done))).otherwise(outer)
+
+    fields = F.transform(text_fields(value), edited)
+    spelled = F.when(~F.exists(fields, lambda f: f.isNull()), _object_text(fields))
+    return F.coalesce(spelled, _set_in_variant(value, parent, field, new))
+
+
+def _set_in_variant(value: Column, parent: str, field: str, new: str) -> Column:
     parsed = F.try_parse_json(value)
     top = F.try_variant_get(parsed, "$", "map<string,variant>")
     inner = F.try_variant_get(parsed, f"$.{parent}", "map<string,variant>")

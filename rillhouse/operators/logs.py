@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillhouse import schemas
-from rillhouse.functions.records import is_blank, json_line, set_text_field, strict_records, whole_number
+from rillhouse.functions.records import (
+    array_items, field_text, is_blank, json_line, put_text_field, set_text_field, strict_records, whole_number,
+)
 
 # Columns of a read log record, beside the untouched `value` and its `seq`.
 RECORD_FIELDS = (
@@ -73,17 +75,36 @@ def entry_pages(pages: DataFrame) -> DataFrame:
     return pages.where(is_entry())
 
 
+def is_object(display: Column) -> Column:
+    """Whether a display's text is a JSON object; others are no displays."""
+    return F.coalesce(F.ltrim(display).startswith("{"), F.lit(False))
+
+
 def with_page_id(display: Column, page_id: Column) -> Column:
-    """A display's own fields with `page_id` set, replacing one it already has."""
-    own = F.map_filter(display, lambda k, _: k != F.lit("page_id"))
-    return F.map_concat(own, F.create_map(F.lit("page_id"), page_id))
+    """A display's own text with `page_id` set, replacing one it already has.
+
+    Null for a display that is no object; a page without an id gives a null one.
+    """
+    new = F.to_json(F.array(page_id))
+    named = F.substring(new, F.lit(2), F.length(new) - 2)
+    return put_text_field(display, "page_id", named)
+
+
+def display_texts(records: DataFrame) -> Column:
+    """The displays of a record as its line spells them; as they were read where the line is not
+    there or is nested too deep to walk."""
+    if "value" not in records.columns:
+        return F.col("displays")
+    spelled = array_items(field_text(F.col("value"), "displays"))
+    same = F.size(spelled) == F.size("displays")
+    return F.when(F.size("displays") > 0, F.when(same, spelled).otherwise(F.col("displays")))
 
 
 def display_logs(records: DataFrame, *keep: str) -> DataFrame:
-    """One row per display of a page record: `display` map, with `keep` columns beside it."""
+    """One row per display of a page record: its JSON text `display`, with `keep` columns beside it."""
     pages = page_logs(records).where(F.size("displays") > 0)
-    shown = pages.select(*keep, "page_id", F.explode("displays").alias("_d"))
-    shown = shown.where(F.col("_d").isNotNull())
+    shown = pages.select(*keep, "page_id", F.explode(display_texts(records)).alias("_d"))
+    shown = shown.where(is_object(F.col("_d")))
     return shown.select(*keep, with_page_id(F.col("_d"), F.col("page_id")).alias("display"))
 
 
@@ -115,13 +136,13 @@ def routed_lines(records: DataFrame, raw_is_new: str = "raw_is_new") -> DataFram
         )
     )
     shown = F.filter(
-        F.when(is_start(), None).otherwise(F.col("displays")), lambda d: d.isNotNull()
+        F.when(is_start(), None).otherwise(display_texts(records)), is_object
     )
     displays = F.transform(
         shown,
         lambda d: F.struct(
             F.lit(schemas.DWD_DISPLAY).alias("topic"),
-            F.to_json(with_page_id(d, F.col("page_id"))).alias("value"),
+            with_page_id(d, F.col("page_id")).alias("value"),
         ),
     )
     none = F.array().cast("array<struct<topic:string,value:string>>")

@@ -73,7 +73,10 @@ def log_lines(table: DataFrame) -> DataFrame:
         _field("vc", _quoted(F.concat(F.lit("v"), text(u % 3)))),
         _field("ch", _quoted(F.concat(F.lit("c"), text(k % 4)))),
         _field("ar", _quoted(F.concat(F.lit("a"), text(u % 5)))),
+        # Fields that no schema declares, one of them repeated and spelled with blanks.
+        F.when(kind != "error", F.lit('"os" : "x\\"{,"')),
     )
+    extra = F.when((kind != "error") & (k % 6 == 0), F.lit('"extra":{"n": 1.50}, "extra":[1,{"d":null}]'))
     last_page = (
         F.when(k % 10 < 3, None)
         .when(k % 10 == 3, "null")
@@ -90,7 +93,7 @@ def log_lines(table: DataFrame) -> DataFrame:
         F.when((kind == "purchase") & (k % 9 == 0), F.concat(F.lit("["), _object(item), F.lit("]")))
         .when((kind != "view") | (k % 4 == 3), None)
         .when(k % 4 == 0, "[]")
-        .when(k % 4 == 1, F.concat(F.lit("["), _object(item, F.lit('"pos":1')), F.lit("]")))
+        .when(k % 4 == 1, F.concat(F.lit("["), _object(item, F.lit('"pos":1,"flag":true,"deep":{"a":[1.50,"}"]}')), F.lit("]")))
         .otherwise(
             F.concat(
                 F.lit("["),
@@ -114,6 +117,7 @@ def log_lines(table: DataFrame) -> DataFrame:
         F.when(~((kind == "purchase") & (k % 9 == 0)), _field("page", page)),
         _field("displays", displays),
         _field("start", start),
+        extra,
         _field("ts", F.when(broken & (k % 8 == 7), '"n/a"').otherwise(text(F.col("ms")))),
     )
     value = (

@@ -42,7 +42,7 @@ def build_log_layers(
     records = store(dated, f"{base}/dwd_records", "dt", "kind")
     pages = records.where(F.col("kind") == "page")
     shown = logs.display_logs(pages, "seq", "ts", "dt").select(
-        "seq", "ts", F.to_json("display").alias("display"), "dt"
+        "seq", "ts", "display", "dt"
     )
     store(shown, f"{base}/{schemas.DWD_DISPLAY}", "dt")
     plain = pages.drop("dt", "kind")

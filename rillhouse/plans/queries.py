@@ -96,9 +96,10 @@ def log_display(spark, d):
     shown = logs.display_logs(_records(spark, d), "seq")
     return shown.select(
         "seq",
-        F.col("display")["item"].alias("item"),
-        F.col("display")["pos"].alias("pos"),
-        F.col("display")["page_id"].alias("page_id"),
+        F.get_json_object("display", "$.item").alias("item"),
+        F.get_json_object("display", "$.pos").alias("pos"),
+        F.get_json_object("display", "$.page_id").alias("page_id"),
+        "display",
     )
 
 
@@ -118,6 +119,7 @@ def log_topics(spark, d):
         at("$.page.page_id").alias("page_page_id"),
         at("$.item").alias("item"),
         at("$.page_id").alias("display_page_id"),
+        "value",
     )
 
 

@@ -29,7 +29,8 @@ LOG_RECORD = T.StructType(
         ),
         T.StructField("page", _struct("page_id STRING, last_page_id STRING, during_time STRING")),
         T.StructField("start", T.StringType()),
-        T.StructField("displays", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+        # Each display is a text of its own, so its values keep their types.
+        T.StructField("displays", T.ArrayType(T.StringType())),
         T.StructField("ts", T.StringType()),
     ]
 )

@@ -59,8 +59,33 @@ def test_displays_are_flattened_with_the_page_id(spark):
         ],
     )
     shown = logs.display_logs(logs.clean_records(frame), "seq").collect()
-    got = sorted((r.seq, r.display["item"], r.display["page_id"]) for r in shown)
-    assert got == [(0, "1", "home"), (0, "2", "home"), (4, "3", None)]
+    got = sorted((r.seq, r.display) for r in shown)
+    assert got == [
+        (0, '{"item":"1","page_id":"home"}'), (0, '{"item":"2","page_id":"home"}'), (4, '{"item":"3","page_id":null}'),
+    ]
+
+
+def test_display_values_keep_their_types(spark):
+    deep = '{"a":[1.50,{"b":"}]"}],"c":{"page_id":"inner"}}'
+    shown = '[{"pos":1, "flag":true,"page_id":"old","deep":%s,"big":12345678901234567890.10}, 7, null, {}]' % deep
+    line = '{"common":{"mid":"m"},"page":{"page_id":"a\\"b"},"displays":%s,"ts":1}' % shown
+    got = [r.display for r in logs.display_logs(logs.clean_records(lines_frame(spark, [line])), "seq").collect()]
+    want = '{"pos":1, "flag":true,"deep":%s,"big":12345678901234567890.10,"page_id":"a\\"b"}' % deep
+    assert got == [want, '{"page_id":"a\\"b"}']
+
+
+def test_a_corrected_record_keeps_all_else(spark):
+    first = log_line(is_new="1")
+    nested = "[" * 6 + '"x"' + "]" * 6
+    second = '{"extra":1.50,"common" : {"mid":"m1","is_new" : "1","os":"\\"{,", "mid":"m1"},"page":{"page_id":"p"},"extra":[1,%s],"ts":%d}' % (nested, T0 + 1)
+    deep = "[" * 12 + "1.0" + "]" * 12
+    third = '{"common":{"mid":"m1","is_new":"1"},"page":{"page_id":"p"},"deep":%s,"ts":%d}' % (deep, T0 + 2)
+    fixed = visitors.fix_new_visitors(logs.clean_records(lines_frame(spark, [first, second, third])))
+    out = {r.seq: r.value for r in logs.routed_lines(fixed).collect()}
+    assert out[1] == second.replace('"is_new" : "1"', '"is_new":"0"')
+    want = json.loads(third)
+    want["common"]["is_new"] = "0"
+    assert json.loads(out[2]) == want
 
 
 def test_entry_pages(spark):
@@ -78,7 +103,7 @@ def test_split_passes_unknown_fields_and_rewrites_only_the_flag(spark):
     want = json.loads(second)
     want["common"]["is_new"] = "0"
     assert json.loads(out[1].value) == want
-    assert json.loads(out[2].value)["common"] == {"mid": "m1", "is_new": "0"}
+    assert out[2].value == twice.replace('"is_new":"1"', '"is_new":"0"')
     assert {r.topic for r in out.values()} == {"dwd_page_log"}
 
 
