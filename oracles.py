@@ -448,6 +448,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_unique_visit": f"{marks} SELECT mid, dt FROM marks WHERE is_visit",
         "stream_user_jump": f"{marks} SELECT seq FROM marks WHERE is_bounce",
         "stream_visitor_stats": _stats(SIX_HOURS, SIX_HOURS),
+        "stream_order_user": """SELECT o_orderkey AS order_id,
+            CASE WHEN o_orderkey % 3 = 2 AND c_custkey % 10 = 7 THEN NULL
+                 WHEN o_orderkey % 3 = 2 AND c_custkey % 10 < 4 THEN 'new ' || c_name ELSE c_name END AS name,
+            c_mktsegment AS seg
+            FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND o_orderkey % 19 <> 0
+              AND (c_custkey % 2 = 0 OR o_orderkey % 3 > 0)""",
         "stream_late_rows": f"""WITH {RECORDS}, marks AS (
               SELECT m.file, max(rec.ts) - 20 * 86400000 AS mark FROM (VALUES (1), (2), (3)) AS m(file)
               JOIN rec ON seq % 4 < m.file GROUP BY m.file)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillhouse import schemas
+from rillhouse.functions import records
 from rillhouse.operators import logs, orders, stats, visitors
 from rillhouse.plans import adapters, warehouse
 from rillhouse.plans.queries import DETAIL_BOUND_MS, HORIZON_MS, WINDOW, _doubles, query
@@ -118,13 +119,13 @@ def stream_visitor_stats(spark, d):
 def stream_late_rows(spark, d):
     """A shuffled topic split by the watermark: rows on time, and late ones with what they missed."""
     folder = _folder(spark)
-    job = _job(spark, folder)
-    job = dataclasses.replace(job, max_files=1)
+    job = dataclasses.replace(_job(spark, folder), max_files=None)
     lines = logs.clean_records(adapters.raw_log_lines(spark, d)).select("value", "seq")
     lines = lines.withColumn("topic", F.lit(schemas.ODS_LOG))
+    # Each run of the job takes what has come since the last one as one batch.
     for part in range(4):
-        write_topics(lines.where(F.col("seq") % 4 == part).coalesce(1), job.topics, "ods_log")
-    jobs.split_late(job, schemas.ODS_LOG, LATE_MS).awaitTermination()
+        write_topics(lines.where(F.col("seq") % 4 == part), job.topics, "ods_log")
+        jobs.split_late(job, schemas.ODS_LOG, LATE_MS).awaitTermination()
     on_time = read_topic(spark, job.topics, schemas.ODS_LOG + ON_TIME).select(
         "seq", F.lit(False).alias("late"), F.get_json_object("value", "$.ts").cast("bigint").alias("ts"), F.lit(None).cast("bigint").alias("missed_ms")
     )
@@ -135,6 +136,39 @@ def stream_late_rows(spark, d):
     return on_time.unionAll(late)
 
 
+@query
+def stream_order_user(spark, d):
+    """Orders with the user's name as of their batch, while users come, are renamed and lose it.
+
+    The first half of the users is in the store, the other comes with the second batch; the third
+    renames some and clears others.
+    """
+    folder = _folder(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    key, name = F.col("c_custkey"), F.col("c_name")
+    users = adapters.load(spark, d, "customer")
+
+    def image(rows, text, seq):
+        shown = records.json_line(key.alias("id"), text.alias("name"), F.col("c_mktsegment").alias("seg"))
+        return rows.select(key.cast("string").alias("key"), F.lit(seq).cast("bigint").alias("seq"), shown.alias("image"))
+
+    renamed = image(users.where(key % 10 < 4), F.concat(F.lit("new "), name), 2).withColumn("image", F.regexp_replace("image", ',"seg":"[^"]*"', ""))
+    cleared = users.where(key % 10 == 7).select(key.cast("string").alias("key"), F.lit(1).cast("bigint").alias("seq"), F.lit('{"name":null}').alias("image"))
+    first, second = image(users.where(key % 2 == 0), name, 0), image(users.where(key % 2 == 1), name, 0)
+    okey = F.col("o_orderkey")
+    orders_ = adapters.load(spark, d, "orders").select(
+        F.when(okey % 19 != 0, F.col("o_custkey").cast("string")).alias("key"), okey.cast("string").alias("value"), okey.alias("seq")
+    )
+    for part, images in enumerate((first.where("false"), second, renamed.unionByName(cleared))):
+        images.write.mode("append").parquet(f"{folder}/images")
+        orders_.where(F.col("seq") % 3 == part).write.mode("append").parquet(f"{folder}/facts")
+        streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{n}") for n, df in (("facts", orders_), ("images", first))]
+        found = _finish(spark, operators.lookup_changing(*streams, first), folder)
+    return found.select(
+        F.col("seq").alias("order_id"), F.get_json_object("image", "$.name").alias("name"), F.get_json_object("image", "$.seg").alias("seg")
+    )
+
+
 @query
 def stream_order_interval_join(spark, d):
     info = adapters.order_rows(adapters.load_stream(spark, d, "orders"))

@@ -1,7 +1,8 @@
-"""The two operators that need ordered or everlasting state per key."""
+"""The operators that need ordered or everlasting state per key."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from pyspark.sql import Row
@@ -33,6 +34,50 @@ BOUNCE_OUT = T.StructType(
 )
 
 
+LOOKUP_OUT = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("image", T.StringType()),
+    ]
+)
+
+
+class LatestImage(StatefulProcessor):
+    """Holds the latest image of a dimension row and hands it to the facts of its key.
+
+    Images of a micro-batch come before its facts, in the order of `seq`; a field that an image
+    lacks keeps its value, one set to null loses it. Facts of a key and salt are held until the
+    batch's images are read, so salts bound what a hot key holds.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.image = handle.getValueState("image", T.StructType([T.StructField("text", T.StringType())]))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.image.update((initialState.image,))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        facts, images = [], []
+        for row in rows:
+            if row.image is None:
+                facts.append((row.value, row.seq))
+            else:
+                images.append((row.seq, row.image))
+        text = self.image.get()[0] if self.image.exists() else None
+        if images:
+            fields = json.loads(text) if text else {}
+            for _, image in sorted(images):
+                fields |= json.loads(image)
+            text = json.dumps(fields, ensure_ascii=False, separators=(",", ":"))
+            self.image.update((text,))
+        for value, seq in facts:
+            yield Row(value=value, seq=seq, image=text)
+
+    def close(self) -> None:
+        pass
+
+
 class FirstClaim(StatefulProcessor):
     """Lets the first record of a device that claims to be new keep its flag, for ever.
 
