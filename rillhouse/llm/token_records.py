@@ -32,7 +32,7 @@ from rillhouse.llm.common import shared_folder, stored
 
 END_ID = 2
 #: Bytes of text that are cut at once, and of the table of encoded chunks that a worker keeps; a full one starts anew.
-BATCH_BYTES, KEPT_BYTES = 16 << 20, 128 << 20
+BATCH_BYTES, KEPT_BYTES = 8 << 20, 80 << 20
 #: Chunks that are encoded as one text.
 JOINED = 64
 #: Rough bytes of an entry of that table beside its chunk and ids.
@@ -70,27 +70,27 @@ class Encoder:
         # A byte-level piece has one character per byte.
         sizes = {i: len(p) for p, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.bytes_of = np.array([sizes.get(i, 1) for i in range(max(sizes) + 1)], np.int64)
-        self.kept: dict[str, np.ndarray] = {}
+        self.kept: dict[str, bytes] = {}
         self.kept_bytes = 0
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind) for e in found]
 
-    def _joined(self, chunks: list[str]) -> dict[str, np.ndarray]:
+    def _joined(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of different chunks; those that start with a cut are encoded as one text, which
         spares the library most of its work per call, and told apart by the bytes of their ids."""
         alone = [c for c in chunks if c[:1] != " " or c[1:2].isspace() or len(c) < 2]
-        out = dict(zip(alone, self._library(alone))) if alone else {}
+        out = dict(zip(alone, (x.tobytes() for x in self._library(alone)))) if alone else {}
         rest = [c for c in chunks if c not in out]
         groups = [rest[a : a + JOINED] for a in range(0, len(rest), JOINED)]
         for group, ids in zip(groups, self._library(["".join(g) for g in groups]) if groups else ()):
             ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in group])
             bounds = np.concatenate([[0], np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1]).tolist()
-            out.update((c, ids[a:b]) for c, a, b in zip(group, bounds[:-1], bounds[1:]))
+            out.update((c, ids[a:b].tobytes()) for c, a, b in zip(group, bounds[:-1], bounds[1:]))
         return out
 
-    def _chunks(self, chunks: list[str]) -> list[np.ndarray]:
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks, from the table where it has them."""
         if self.kept_bytes > KEPT_BYTES:
             self.kept, self.kept_bytes = {}, 0
@@ -99,9 +99,8 @@ class Encoder:
         out = [fresh[c] if c in fresh else self.kept[c] for c in chunks]
         for c, ids in fresh.items():
             if len(c) <= 64:
-                # A copy: a view would keep the ids of its whole group.
-                self.kept[c] = ids.copy()
-                self.kept_bytes += ENTRY_BYTES + len(c) + ids.nbytes
+                self.kept[c] = ids
+                self.kept_bytes += ENTRY_BYTES + len(c) + len(ids)
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -122,14 +121,14 @@ class Encoder:
         strange = np.add.reduceat(np.concatenate([odd[code], [False]]), offsets[:-1]) > 0
         strange &= filled
         ids = self._chunks([p[1:] if p[:1] == MARK else f" {p}" for p in known])
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, self.kind)
+        sizes = np.array([len(x) for x in ids], np.int64) // self.width
+        flat = np.frombuffer(b"".join(ids), self.kind)
         starts = np.cumsum(sizes) - sizes
         lengths = sizes[code]
         ends = np.cumsum(lengths)
         # One gather for all texts: each chunk's ids are a stretch of `flat`.
         place = np.repeat(starts[code] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))
-        gathered = flat[place].astype(self.kind)
+        gathered = flat[place]
         bounds = np.concatenate([[0], ends])[offsets]
         out = [gathered[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         for i, text in enumerate(texts):
@@ -139,7 +138,7 @@ class Encoder:
                 cut = CUT.split(text)
                 names = list(dict.fromkeys(cut))
                 table = dict(zip(names, self._chunks(names)))
-                out[i] = b"".join(table[c].tobytes() for c in cut)
+                out[i] = b"".join(table[c] for c in cut)
         return out
 
 
