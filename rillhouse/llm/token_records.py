@@ -164,7 +164,18 @@ def _rooted(spark: SparkSession, folder: str) -> str:
     return default.rstrip("/") + folder if default and folder.startswith("/") else folder
 
 
-def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+def _parts(ids: pa.Array, ties: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The shard of each row: by range of its id; rows of an id that is a bound, by their tie; null
+    ids come first, by their tie over as many shards of their own."""
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    known = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+    low, high = np.searchsorted(bounds, known, side="left"), np.searchsorted(bounds, known, side="right")
+    shards = len(bounds) + 1
+    low, width = np.where(null, 0, low + shards), np.where(null, shards, high - low + 1)
+    return low + (ties * width >> 32)
+
+
+def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     tool = encoder(tokenizer)
     for batch in batches:
         texts, at = batch.column("text"), 0
@@ -173,23 +184,34 @@ def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.Re
             # Texts are cut together up to a bound; a longer one is alone.
             stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BATCH_BYTES, side="right")))
             ids = tool.encode(texts.slice(at, stop - at).to_pylist())
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(at, stop - at), "ids": pa.array(ids, pa.binary())})
+            doc_id, ties = batch.column("doc_id").slice(at, stop - at), np.array([zlib.crc32(x) for x in ids], np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "part": _parts(doc_id, ties, bounds).astype(np.int32), "doc_id": doc_id, "tie": ties, "ids": pa.array(ids, pa.binary()),
+            })
             at = stop
 
 
 def _write(frames: Iterator[pd.DataFrame], folder: str, width: int, end_id: int) -> Iterator[pd.DataFrame]:
+    """Write a task's rows, which are in order, to a file for each of its shards."""
     end = end_id.to_bytes(width, "little")
-    files, base, path = None, "", ""
-    shard, records, tokens, at = -1, 0, 0, 0
     system, root = _place(folder)
+    files, shard, path, records, tokens, at = (), -1, "", 0, 0, 0
+
+    def finished() -> pd.DataFrame:
+        for f in files:
+            f.close()
+        return pd.DataFrame({"shard": [shard], "path": [f"{folder}/{path}"], "records": [records], "tokens": [tokens]})
+
     try:
         for frame in frames:
             for part, doc_id, ids in zip(frame["part"], frame["doc_id"], frame["ids"]):
-                if files is None:
-                    shard, path = int(part), f"{int(part):08d}-{uuid.uuid4().hex}"
+                if part != shard:
+                    if files:
+                        yield finished()
+                    shard, records, tokens, at = int(part), 0, 0, 0
+                    path = f"{shard:08d}-{uuid.uuid4().hex}"
                     system.create_dir(root, recursive=True)
-                    base = f"{root}/{path}"
-                    files = (system.open_output_stream(f"{base}.bin"), system.open_output_stream(f"{base}.idx"))
+                    files = tuple(system.open_output_stream(f"{root}/{path}.{kind}") for kind in ("bin", "idx"))
                 known = not pd.isna(doc_id)
                 payload = ID.pack(known, width, int(doc_id) if known else 0) + ids + end
                 size = HEAD.pack(len(payload))
@@ -198,22 +220,28 @@ def _write(frames: Iterator[pd.DataFrame], folder: str, width: int, end_id: int)
                 at += len(payload) + 16
                 records += 1
                 tokens += (len(payload) - ID.size) // width
+        if files:
+            yield finished()
     finally:
-        for f in files or ():
+        for f in files:
             f.close()
-    if files:
-        yield pd.DataFrame({"shard": [shard], "path": [f"{folder}/{path}"], "records": [records], "tokens": [tokens]})
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Write the shards and return their stored manifest `shard, path, records, tokens`."""
-    folder, width = _rooted(docs.sparkSession, folder), encoder(tokenizer).width
-    # Stored once: ranges are drawn from a sample, which would otherwise encode all texts first.
-    coded = docs.select("doc_id", "text").mapInArrow(lambda b: _encode(b, tokenizer), "doc_id bigint, ids binary")
-    coded = stored(coded.withColumn("tie", F.xxhash64("ids")), "token-ids")
-    rows = coded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    spark = docs.sparkSession
+    folder, width = _rooted(spark, folder), encoder(tokenizer).width
+    # Shards are ranges of ids, drawn from the ids alone: one bound per shuffle partition.
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / shards for i in range(1, shards)] or [0.5]
+    found = docs.select(F.percentile_approx("doc_id", shares, 100 * shards)).first()[0]
+    bounds = np.array(found or [], np.int64)
+    coded = docs.select("doc_id", "text").mapInArrow(
+        lambda b: _encode(b, tokenizer, bounds), "part int, doc_id bigint, tie bigint, ids binary"
+    )
+    rows = coded.repartition("part").sortWithinPartitions("part", "doc_id", "tie")
     # Ids pass as text: beside a null, pandas would hold them as floats.
-    rows = rows.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("string").alias("doc_id"), "ids")
+    rows = rows.select("part", F.col("doc_id").cast("string").alias("doc_id"), "ids")
     written = rows.mapInPandas(lambda f: _write(f, folder, width, end_id), "shard int, path string, records bigint, tokens bigint")
     return stored(written, "manifest")
 

@@ -319,12 +319,25 @@ def test_records_round_trip(spark):
     assert token_records.token_records(empty(spark), BPE).count() == 0
 
 
+def test_records_of_one_id_and_of_none_are_spread(spark, folder):
+    rng = random.Random(3)
+    rows = [(rng.choice([5, 5, 5, None, None, rng.randrange(10)]), prose(rng, 3)) for _ in range(400)]
+    manifest = token_records.write_records(frame(spark, rows), f"{folder}/t", BPE).orderBy("shard").collect()
+    assert len(manifest) > 5 and sum(m.records for m in manifest) == 400
+    ids = [i for m in manifest for i, _ in token_records.read_shard(m.path)]
+    assert ids == sorted((i for i, _ in rows), key=lambda i: -1 if i is None else i)
+    found = token_records.token_records(frame(spark, rows), BPE).orderBy("start").collect()
+    assert [r.doc_id for r in found] == ids and found[-1].start + found[-1].n_tokens == sum(r.n_tokens for r in found)
+
+
 def test_records_by_offset_and_damage(spark, folder):
     manifest = token_records.write_records(frame(spark, [(None, "x"), (4, "a b"), (4, "a b"), (9, None)]), f"{folder}/t", BPE).collect()
-    (shard,) = [m for m in manifest if m.records == 4] or manifest[:1]
+    assert sum(m.records for m in manifest) == 4
+    assert [i for m in sorted(manifest) for i, _ in token_records.read_shard(m.path)] == [None, 4, 4, 9]
+    shard = max(manifest)
     whole = list(token_records.read_shard(shard.path))
     assert [(i, ids.tolist()) for i, ids in (token_records.read_record(shard.path, i) for i in range(len(whole)))] == [(i, ids.tolist()) for i, ids in whole]
-    assert whole[0][0] is None and (whole[-1][0], whole[-1][1].tolist()) == (9, [2])
+    assert (whole[-1][0], whole[-1][1].tolist()) == (9, [2])
     with open(f"{shard.path}.bin", "r+b") as f:
         f.seek(14)
         f.write(b"\xff")
