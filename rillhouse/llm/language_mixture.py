@@ -33,16 +33,19 @@ _LETTERS: list[np.ndarray] = []
 
 
 def letters() -> np.ndarray:
-    """Whether each code point is a letter or a mark inside a word."""
+    """For each code point 2 if it is a letter, 1 if it is a mark that may stand inside a word, else 0."""
     if not _LETTERS:
-        _LETTERS.append(np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)]))
+        kinds = ({"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1))
+        _LETTERS.append(np.fromiter(kinds, np.uint8, sys.maxunicode + 1))
     return _LETTERS[0]
 
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each letter's trigram, and where in that list each word starts."""
+    """Bucket of each letter's trigram, and where in that list each word starts; a text of marks
+    without a letter has none."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where(letters()[np.minimum(points, sys.maxunicode)], points, 0)
+    kinds = letters()[np.minimum(points, sys.maxunicode)]
+    points = np.where(kinds if (kinds == 2).any() else 0, points, 0)
     points = np.concatenate(([0], points, [0])).astype(np.uint64)
     inside = points > 0
     middle = np.flatnonzero(inside)

@@ -277,10 +277,10 @@ def test_languages_of_held_out_rows(spark):
     found = language_mixture.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(found) > 50 and sum(r.lang == r.lang_pred for r in found) / len(found) > 0.97
     mixed = " ".join(words["aa"][:40] + words["bb"][:20])
-    more = docs.unionAll(frame(spark, [(900, mixed), (901, None), (902, "123 !"), (None, "abc"), (903, mixed * 200)], None))
+    more = docs.unionAll(frame(spark, [(900, mixed), (901, None), (902, "123 !"), (None, "abc"), (903, mixed * 200), (904, "\u2764\ufe0f 1")], None))
     out = {r.doc_id: r for r in language_mixture.identify(more).where("doc_id >= 900 or doc_id is null").collect()}
     assert [x.lang for x in out[900].languages] == ["aa", "bb"] and abs(out[900].languages[0].share - 2 / 3) < 0.05
-    assert (out[901].lang_pred, out[902].lang_pred, out[901].score) == ("und", "und", 0.0) and out[None].held_out
+    assert (out[901].lang_pred, out[902].lang_pred, out[901].score, out[904].lang_pred) == ("und", "und", 0.0, "und") and out[None].held_out
     assert language_mixture.identify(docs.withColumn("lang", docs.e)).count() == 240
     assert language_mixture.identify(empty(spark)).count() == 0
 
