@@ -16,6 +16,8 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Blocks keep the table of powers, and so the memory of a task, independent of the text's length.
 POWERS = 1 << 16
+#: Whether a written step's shuffle files go when its write ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -29,13 +31,30 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a step to the shared folder and read it back, so lost executors do not undo it."""
+    """Write a step to the shared folder and read it back, so lost executors do not undo it.
+
+    Once the step is written nothing reads the shuffles behind it, so Spark is told to remove them.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*steps: DataFrame) -> None:
+    """Empty the folders of stored steps that no later plan reads; what is given is no frame any more."""
+    for step in steps:
+        files = step.inputFiles()
+        if files:
+            nothing = step.sparkSession.createDataFrame([], step.schema)
+            nothing.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -141,7 +160,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         moved = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        edges = stored(moved.unionAll(low.select("a", F.col("low").alias("b"))).distinct(), name)
+        last, edges = edges, stored(moved.unionAll(low.select("a", F.col("low").alias("b"))).distinct(), name)
+        discard(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(

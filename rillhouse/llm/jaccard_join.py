@@ -9,7 +9,8 @@ partitions that only empty ones might agree gives signatures for its empty parti
 Equal sets are one class throughout, so copies never meet in a join. Signatures shared by several
 classes give candidates in two steps: neighbours within a signature, whose verified links are
 closed to components first, then the pairs of different components that are left. Parity sketches
-bound the Hamming distance from below inside that join, so it emits hardly more than true links.
+bound the Hamming distance from below inside that join; sketches in proportion to a set's size do so
+again for the pairs of large sets, so that hardly more than true links are compared by whole sets.
 """
 
 from __future__ import annotations
@@ -20,17 +21,18 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import components, mix, space_word_hashes, stored
+from rillhouse.llm.common import components, discard, mix, space_word_hashes, stored
 
 WIDTH = 5
 SIMILARITY = Fraction(4, 5)
 #: Bits of the bitmap of wanted documents; it is broadcast and never larger, however many there are.
 BITMAP_BITS = 1 << 26
-#: Longs of a parity sketch.
+#: Longs of a parity sketch; sets of more shingles than it has bits get a wide one beside it.
 SKETCH = 8
+SETS = "doc_id bigint, n_shingles bigint, key bigint, sketch array<bigint>, wide array<bigint>"
 #: Texts are hashed together up to about so many characters, and so many texts.
 CHUNK_CHARS, CHUNK_TEXTS = 200_000, 500
 #: Neighbours per class that the first step verifies.
@@ -104,6 +106,15 @@ class Sets:
         counts = np.bincount(self.rows * 64 * SKETCH + blocks.astype(np.int64), minlength=n * 64 * SKETCH)
         return np.packbits((counts & 1).astype(np.uint8).reshape(n, 64 * SKETCH), axis=1).view(np.int64)
 
+    def wide_sketches(self) -> list[np.ndarray | None]:
+        """Such parities with at least a bit a shingle, a power of two of longs; none for small sets."""
+        out = [None] * len(self.sizes)
+        for i in np.flatnonzero(self.sizes > 64 * SKETCH):
+            bits = 1 << int(self.sizes[i] - 1).bit_length()
+            blocks = (mix(self.of(i) + np.uint64(0x51_7C_C1_B7)) & np.uint64(bits - 1)).astype(np.int64)
+            out[i] = np.packbits((np.bincount(blocks, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+        return out
+
     def of(self, i: int) -> np.ndarray:
         return self.items[self.starts[i] : self.starts[i] + self.sizes[i]]
 
@@ -171,6 +182,7 @@ def _sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
                 # Through a float, as pandas holds integers beside nulls, a key would lose its last bits.
                 "key": pd.arrays.IntegerArray(sets.keys(), ~some),
                 "sketch": [s if known else None for s, known in zip(sets.sketches(), some)],
+                "wide": sets.wide_sketches(),
             })
 
 
@@ -205,9 +217,38 @@ def _bit(doc_id):
     return F.pmod(F.xxhash64(doc_id), F.lit(BITMAP_BITS))
 
 
+def _differ(one: str, two: str) -> Column:
+    """In how many bits two wide sketches differ, the longer one folded to the length of the other.
+
+    Sizes that allow the similarity are less than a factor of two apart, so folding once is enough.
+    Null where either set has none.
+    """
+
+    def folded(x: str, y: str) -> Column:
+        half = F.size(y)
+        halves = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > half, halves).otherwise(F.col(x))
+
+    both = F.zip_with(folded(one, two), folded(two, one), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.when(
+        F.col(one).isNotNull() & F.col(two).isNotNull(), F.aggregate(both, F.lit(0), lambda total, n: total + n)
+    )
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, similarity: Fraction) -> DataFrame:
+    """The pairs `(a, b)` whose wide sketches leave room for the similarity."""
+    one = classes.select(F.col("key").alias("a"), F.col("n_shingles").alias("n"), F.col("wide").alias("wide_a"))
+    two = classes.select(F.col("key").alias("b"), F.col("n_shingles").alias("m"), F.col("wide").alias("wide_b"))
+    p, q = similarity.numerator, similarity.denominator
+    room = _differ("wide_a", "wide_b") * (q + p) <= (F.col("n") + F.col("m")) * (q - p)
+    return pairs.join(one, "a").join(two, "b").where(F.coalesce(room, F.lit(True))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, similarity: Fraction) -> DataFrame:
-    """The pairs `(a, b)` of classes that are similar, by their whole sets."""
+    """The links `(a, b)` of classes among stored pairs, by their whole sets; what was stored goes."""
     spark = docs.sparkSession
+    pairs, given = stored(_likely(pairs, classes, similarity), "likely"), pairs
+    discard(given)
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     bits = keys.join(classes, "key").select(_bit(F.col("first_id")).alias("bit"))
     words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
@@ -224,11 +265,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("left_items", "right_items")).cast("bigint")
     union = F.size("left_items") + F.size("right_items") - shared
-    return (
-        both.where(shared * similarity.denominator >= union * similarity.numerator)
-        .select("a", "b")
-        .distinct()
-    )
+    links = both.where(shared * similarity.denominator >= union * similarity.numerator)
+    links = stored(links.select("a", "b").distinct(), "links")
+    discard(sets, pairs)
+    return links
 
 
 def _close(one: str, two: str, similarity: Fraction):
@@ -260,7 +300,8 @@ def _joined_components(parts: DataFrame, links: DataFrame) -> DataFrame:
 def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY) -> DataFrame:
     """`(key, component)` of every class of equal sets that is similar to another class."""
     classes = sets.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
+        F.first("wide").alias("wide"),
     )
     classes = stored(classes, "classes")
     rows = (
@@ -283,7 +324,7 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similar
     )
     best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("count"), "b"))
     near = stored(near.withColumn("rank", best).where(F.col("rank") <= NEAREST).select("a", "b"), "near")
-    links = stored(_verified(near, docs, classes, width, similarity), "links")
+    links = _verified(near, docs, classes, width, similarity)
     parts = components(links)
 
     known = shared.select("sig", "key").join(parts.withColumnRenamed("node", "key"), "key", "left")
@@ -300,7 +341,8 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similar
         & _close("one", "two", similarity),
     ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
     rest = stored(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
-    more = stored(_verified(rest, docs, classes, width, similarity), "links")
+    discard(shared, left)
+    more = _verified(rest, docs, classes, width, similarity)
     whole = _joined_components(parts, more)
     first = whole.join(classes, F.col("node") == F.col("key"))
     low = first.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -319,17 +361,17 @@ def near_components(docs: DataFrame, width: int = WIDTH, similarity: Fraction =
     whole = docs.where("doc_id is not null")
     sets = stored(
         whole.mapInPandas(
-            lambda f: _sets(f, width), "doc_id bigint, n_shingles bigint, key bigint, sketch array<bigint>"
+            lambda f: _sets(f, width), SETS
         ),
         "sets",
     )
     linked = linked_classes(whole, sets, width, similarity)
     equal = sets.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"))
     named = equal.join(linked, "key", "left").select("key", F.coalesce("component_id", "first_id").alias("component_id"))
-    out = sets.drop("sketch").join(named, "key", "left").select(
+    out = sets.drop("sketch", "wide").join(named, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
     lost = docs.where("doc_id is null").mapInPandas(
-        lambda f: _sets(f, width), "doc_id bigint, n_shingles bigint, key bigint, sketch array<bigint>"
+        lambda f: _sets(f, width), SETS
     )
     return out.unionAll(lost.select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component_id")))

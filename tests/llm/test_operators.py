@@ -84,6 +84,42 @@ def test_jaccard_components_equal_brute_force(spark, seed):
     assert found == brute_components(rows)
 
 
+def test_wide_sketches_bound_the_distance_and_drop_unrelated_sets(spark):
+    rng = random.Random(5)
+    base = prose(rng, 1030).split()
+    texts = [" ".join(base[: 1030 - n] + prose(rng, extra).split()) for n, extra in [(0, 0), (9, 4), (40, 0), (60, 90), (400, 300)]]
+    texts += [prose(rng, 1500) for _ in range(6)]
+    sets = jaccard_join.Sets(texts)
+    rows = [(int(k), int(n), [int(x) for x in w]) for k, n, w in zip(sets.keys(), sets.sizes, sets.wide_sketches())]
+    classes = spark.createDataFrame(rows, "key bigint, n_shingles bigint, wide array<bigint>")
+    keys = [r[0] for r in rows]
+    pairs = spark.createDataFrame([(a, b) for a in keys for b in keys if a < b], "a bigint, b bigint")
+    left = {(r.a, r.b) for r in jaccard_join._likely(pairs, classes, jaccard_join.SIMILARITY).collect()}
+    near = set()
+    for i, a in enumerate(keys):
+        for j, b in enumerate(keys):
+            one, two = set(sets.of(i).tolist()), set(sets.of(j).tolist())
+            if a < b and 5 * len(one & two) >= 4 * len(one | two):
+                near.add((a, b))
+    assert near and near <= left
+    assert not [p for p in left if keys.index(p[0]) > 4 or keys.index(p[1]) > 4]
+
+
+def test_long_unrelated_texts_with_one_passage_are_not_compared_whole(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [prose(rng, 1) for _ in range(5_000)]
+    passage = prose(rng, 120, words)
+    texts = [prose(rng, 700, words) + " " + passage + " " + prose(rng, 700, words) for _ in range(120)]
+    texts += [texts[0] + " once more", texts[0]]
+    compared, likely = [], jaccard_join._likely
+    monkeypatch.setattr(
+        jaccard_join, "_likely", lambda *given: compared.append(likely(*given).count()) or likely(*given)
+    )
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_components(frame(spark, texts)).collect()}
+    assert found == {i: 0 if i >= 120 else i for i in range(122)}
+    assert 1 <= sum(compared) <= 4
+
+
 def test_jaccard_without_ids_and_rows(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "A b c d e f")]
     found = sorted((str(r.doc_id), r.component_id) for r in jaccard_join.near_components(frame(spark, rows)).collect())
