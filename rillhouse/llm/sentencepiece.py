@@ -13,17 +13,21 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillhouse.llm.jaccard_join import text_chunks
+
 MARK = "▁"
 UNIT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-#: Entries each worker keeps of words and of piece pairs; a full table starts anew.
-CACHED = 1_000_000
+#: Entries each worker keeps of words and of piece pairs, some 200 bytes each; a full table starts anew.
+CACHED = 400_000
 RESULT = "ids array<int>, n_tokens bigint, decoded string"
 
 
@@ -182,17 +186,22 @@ def decode(pieces: Pieces, ids) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def encoded(pieces: Pieces, text: Column) -> Column:
-    """A struct column of type RESULT: the ids, their number, and the text decoded from them."""
-
-    def run(texts: pd.Series) -> pd.DataFrame:
-        ids = [encode(pieces, t) for t in texts]
-        return pd.DataFrame(
-            {"ids": ids, "n_tokens": [len(i) for i in ids], "decoded": [decode(pieces, i.tolist()) for i in ids]},
-            columns=["ids", "n_tokens", "decoded"],
-        )
-
-    return F.pandas_udf(run, RESULT)(text)
+def _encoded(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, column = 0, batch.column("text")
+        for texts in text_chunks(t.as_py() for t in column):
+            ids = [encode(pieces, t) for t in texts]
+            ends = np.cumsum([0, *map(len, ids)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").slice(at, len(texts)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32())),
+                    pa.array(np.diff(ends), pa.int64()),
+                    pa.array([decode(pieces, i.tolist()) for i in ids], pa.string()),
+                ],
+                names=["doc_id", "ids", "n_tokens", "decoded"],
+            )
+            at += len(texts)
 
 
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
@@ -200,9 +209,11 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
 
     Null and empty texts have no ids and decode to an empty text; repeated rows and null ids stay;
     other columns are ignored. A literal word mark in a text decodes to a space, as in the library.
+    A task holds the results of some 200,000 characters at a time, or of one longer text.
     """
     pieces = read_pieces(model_file)
-    return docs.select("doc_id", encoded(pieces, F.col("text")).alias("e")).select("doc_id", "e.*")
+    of = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _encoded(batches, pieces), f"doc_id {of}, {RESULT}")
 
 
 def word_table(docs: DataFrame, column: str = "text") -> DataFrame:
