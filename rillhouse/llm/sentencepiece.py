@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,14 +34,15 @@ RESULT = "ids array<int>, n_tokens bigint, decoded string"
 
 @dataclass
 class Pieces:
-    """The piece table: ids and scores of ordinary pieces, their beginnings, and what each id stands for."""
+    """The piece table: ids and scores of ordinary pieces, the length of the longest piece in each of
+    their beginnings (1 if there is none), and what each id stands for."""
 
     ids: dict[str, int]
     scores: dict[str, float]
     names: list[str | bytes]
     byte_ids: list[int]
     longest: int
-    heads: set[str]
+    heads: dict[str, int]
     pairs: dict[str, dict[str, bool]] = field(default_factory=dict)
     n_pairs: int = 0
     edges: dict[tuple[str, int], list] = field(default_factory=dict)
@@ -68,7 +70,9 @@ def read_pieces(model_file: str) -> Pieces:
             names.append(name.replace(MARK, " ").encode())
     if any("\n" in p or MARK in p.lstrip(MARK) for p in ids):
         raise ValueError("pieces that cross words are not supported")
-    heads = {p[:n] for p in ids for n in range(1, len(p) + 1)}
+    heads = {}
+    for head in sorted({p[:n] for p in ids for n in range(1, len(p) + 1)}, key=len):
+        heads[head] = len(head) if head in ids else heads.get(head[:-1], 1)
     return Pieces(ids, scores, names, byte_ids, max(map(len, ids)), heads)
 
 
@@ -122,38 +126,39 @@ def _follows(pieces: Pieces, left: str, right: str) -> bool:
 
 
 def best_path(pieces: Pieces, word: str) -> list[str]:
-    """Fold the lattice from left to right, keeping at each position its one consistent last edge.
+    """Fold the lattice from left to right along its one consistent path, longest edges first.
 
-    Edges are the substrings in the piece table, and single characters without a piece. Those that
-    start where no consistent path ends are never looked at.
+    Edges are the substrings in the piece table, and single characters without a piece. Only one
+    consistent path leads to a position, so a position that no edge leaves consistently is given up
+    for good, and the next shorter edge before it is tried: the work is linear in a word's length.
     """
-    ids, heads, size = pieces.ids, pieces.heads, len(word)
-    last = [-1] * (size + 1)
-    last[0] = 0
-    for start in range(size):
-        if last[start] < 0:
-            continue
-        before = word[last[start] : start]
-        known = pieces.pairs.get(before)
+    heads, pairs, size = pieces.heads, pieces.pairs, len(word)
+    path, dead, start, length = [], set(), 0, 0
+    while start < size:
+        if not length:
+            end = start + 1
+            while end < size and word[start : end + 1] in heads:
+                end += 1
+            length = heads.get(word[start:end], 1)
+        piece, before = word[start : start + length], path[-1] if path else ""
+        known = pairs.get(before)
         if known is None:
-            known = pieces.pairs[before] = {}
-        for end in range(start + 1, size + 1):
-            piece = word[start:end]
-            if piece not in heads and end > start + 1:
-                break
-            if last[end] < 0 and (piece in ids or end == start + 1):
-                fits = known.get(piece)
-                if fits is None:
-                    fits = known[piece] = _follows(pieces, before, piece)
-                if fits:
-                    last[end] = start
-    if last[size] < 0:
-        return merged(pieces, word)
-    path, end = [], size
-    while end:
-        path.append(word[last[end] : end])
-        end = last[end]
-    return path[::-1]
+            known = pairs[before] = {}
+        fits = known.get(piece)
+        if fits is None:
+            fits = known[piece] = _follows(pieces, before, piece)
+        if fits and start + length not in dead:
+            path.append(piece)
+            start, length = start + length, 0
+        elif length > 1:
+            length = heads[piece[:-1]]
+        elif path:
+            dead.add(start)
+            length = len(path.pop())
+            start -= length
+        else:
+            return merged(pieces, word)
+    return path
 
 
 def word_ids(pieces: Pieces, word: str) -> bytes:
@@ -164,7 +169,7 @@ def word_ids(pieces: Pieces, word: str) -> bytes:
         for part in best_path(pieces, word):
             one = pieces.ids.get(part)
             out += [one] if one is not None else [pieces.byte_ids[b] for b in part.encode("utf-8", "replace")]
-        known = np.array(out, "<i4").tobytes()
+        known = struct.pack(f"<{len(out)}i", *out)
         if len(pieces.words) >= CACHED:
             pieces.words.clear()
         if len(word) <= 64:
