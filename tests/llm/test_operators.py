@@ -397,6 +397,14 @@ def test_ids_equal_the_library(spark):
     assert sentencepiece.encode_documents(empty(spark), SP).count() == 0
 
 
+@pytest.mark.parametrize("letters", ["abcdeinorst", "aeé", "▁the", "xq漢"])
+def test_paths_equal_merging(letters):
+    pieces, rng = sentencepiece.read_pieces(SP), random.Random(8)
+    for _ in range(2000):
+        word = "▁" + "".join(rng.choice(letters) for _ in range(rng.randint(1, 24)))
+        assert sentencepiece.best_path(pieces, word) == sentencepiece.merged(pieces, word)
+
+
 def test_relational_lattice_and_fold(spark):
     table = spark.createDataFrame([("a", 0), ("b", 1), ("ab", 2), ("ba", 3), ("aba", 4)], "piece string, id int")
     scores = [-2.0, -2.0, -1.0, -3.0, -9.0]
