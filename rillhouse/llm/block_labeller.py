@@ -24,8 +24,6 @@ TRAIN_PAGES = 800
 EPOCHS, BATCH, RATE = 7, 20, 0.012
 PATH_SIZE, WORD_SIZE, HIDDEN = 256, 32, 16
 MEASURES = 6
-#: Words of a block that are hashed, spread evenly over it.
-SEEN_WORDS = 24
 #: Pages are labelled in batches of similar length of at most so many blocks.
 BATCH_BLOCKS = 20_000
 RESULT = "text string, n_chars bigint, n_blocks int, n_main int"
@@ -149,10 +147,9 @@ def vectors(found: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
         at += [base + s for s in slots]
         share += [1.0] * len(slots)
         words = text.split()
-        some = words[:: len(words) // SEEN_WORDS + 1]  # evenly over the whole block
         base += PATH_SIZE
-        at += [base + slot(w, WORD_SIZE) for w in some]
-        share += [1.0 / len(some)] * len(some)
+        at += [base + slot(w, WORD_SIZE) for w in words]
+        share += [1.0 / len(words)] * len(words)
         stops = text.count(".") + text.count(",") + text.count("?") + text.count("!")
         measures.append((
             np.log1p(len(words)) / 5, min(1.0, links / max(1, len(text))), stops / len(words),

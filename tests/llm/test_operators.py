@@ -537,6 +537,15 @@ def test_pages(spark):
     assert len(found) == 6 and text[None] == "" and text["v"] == "" and all(r.n_chars == len(r.text) for r in found)
 
 
+def test_every_word_of_a_block_is_seen():
+    words = [f"w{i % 7}" for i in range(200)]
+    plain = block_labeller.vectors([(" ".join(words), ("p",), 0)])
+    other = next(w for w in ("x", "y", "z") if all(block_labeller.slot(w, block_labeller.WORD_SIZE) != block_labeller.slot(v, block_labeller.WORD_SIZE) for v in set(words)))
+    for at in range(1, 199):
+        changed = block_labeller.vectors([(" ".join([*words[:at], other, *words[at + 1 :]]), ("p",), 0)])
+        assert (changed != plain).any(), at
+
+
 def test_labeller_on_unseen_pages():
     network, rng = block_labeller.train(), random.Random(1234)
     wrong = total = 0
