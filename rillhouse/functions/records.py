@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,34 +70,46 @@ def comma_join(items: Column) -> Column:
 
 #: How deep a field's value may be nested for its text to be walked; deeper ones are read as variants.
 DEPTH = 8
-_TEXT = r'"(?:[^"\\]|\\.)*+"'
-_INSIDE = rf'(?:[^"{{}}\[\]]|{_TEXT})*+'
+_TEXT = r'"(?:[^"\\]++|\\.)*+"'
+_INSIDE = rf'(?:[^"{{}}\[\]]++|{_TEXT})*+'
 for _ in range(DEPTH - 1):
-    _INSIDE = rf'(?:[^"{{}}\[\]]|{_TEXT}|[{{\[]{_INSIDE}[}}\]])*+'
+    _INSIDE = rf'(?:[^"{{}}\[\]]++|{_TEXT}|[{{\[]{_INSIDE}[}}\]])*+'
 _VALUE = rf'(?:{_TEXT}|[{{\[]{_INSIDE}[}}\]]|[^\s",:{{}}\[\]]++)'
 _NAME = rf"\s*+{_TEXT}\s*+:\s*+"
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _spelled(value: Column, opened: str, closed: str, part: str) -> Column:
+    """The parts between the brackets of a JSON text; null where they are not all found."""
+
+    def parts(bare: Column) -> Column:
+        def whole(inside: Column) -> Column:
+            framed = bare.startswith(opened) & bare.endswith(closed)
+            found = F.regexp_extract_all(inside, F.lit(part), F.lit(0))
+            empty = F.when(F.trim(inside) == "", F.array().cast("array<string>"))
+            return with_value(found, lambda f: F.when(framed & (F.array_join(f, ",") == inside), f).otherwise(empty))
+
+        return with_value(F.substring(bare, F.lit(2), F.length(bare) - 2), whole)
+
+    return with_value(F.btrim(value, F.lit(" \t\n\x0b\f\r")), parts)
+
+
 def text_fields(value: Column) -> Column:
     """The fields of one JSON object text as they are spelled, `"name":value`, in order.
 
     Quantifiers are possessive: a field is walked once and never backtracks. Null for a text whose
     fields are not all found, such as one that is nested too deep.
     """
-    bare = F.regexp_replace(value, r"\A\s+|\s+\z", "")
-    inside = F.substring(bare, F.lit(2), F.length(bare) - 2)
-    found = F.regexp_extract_all(inside, F.lit(rf"{_NAME}{_VALUE}\s*+"), F.lit(0))
-    whole = bare.startswith("{") & bare.endswith("}") & (F.array_join(found, ",") == inside)
-    return F.when(whole, found).when(F.trim(inside) == "", F.array().cast("array<string>"))
+    return _spelled(value, "{", "}", rf"{_NAME}{_VALUE}\s*+")
 
 
 def array_items(value: Column) -> Column:
     """The items of one JSON array text as they are spelled; null as for `text_fields`."""
-    bare = F.regexp_replace(value, r"\A\s+|\s+\z", "")
-    inside = F.substring(bare, F.lit(2), F.length(bare) - 2)
-    found = F.regexp_extract_all(inside, F.lit(rf"\s*+{_VALUE}\s*+"), F.lit(0))
-    whole = bare.startswith("[") & bare.endswith("]") & (F.array_join(found, ",") == inside)
-    return F.when(whole, found).when(F.trim(inside) == "", F.array().cast("array<string>"))
+    return _spelled(value, "[", "]", rf"\s*+{_VALUE}\s*+")
 
 
 def field_text(value: Column, field: str) -> Column:

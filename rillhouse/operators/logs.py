@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillhouse import schemas
 from rillhouse.functions.records import (
     array_items, field_text, is_blank, json_line, put_text_field, set_text_field, strict_records, whole_number,
+    with_value,
 )
 
 # Columns of a read log record, beside the untouched `value` and its `seq`.
@@ -96,8 +97,8 @@ def display_texts(records: DataFrame) -> Column:
     if "value" not in records.columns:
         return F.col("displays")
     spelled = array_items(field_text(F.col("value"), "displays"))
-    same = F.size(spelled) == F.size("displays")
-    return F.when(F.size("displays") > 0, F.when(same, spelled).otherwise(F.col("displays")))
+    same = with_value(spelled, lambda s: F.when(F.size(s) == F.size("displays"), s).otherwise(F.col("displays")))
+    return F.when(F.size("displays") > 0, same)
 
 
 def display_logs(records: DataFrame, *keep: str) -> DataFrame:

@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from rillhouse.functions.records import text_fields
 from rillhouse.operators import logs, visitors
 from tests.helpers import T0, lines_frame, log_line
 
@@ -144,3 +145,13 @@ def test_text_that_ends_the_array_early_is_dirty(spark):
     read = strict_records(df, T.StructType([T.StructField("a", T.IntegerType())])).collect()
     assert {r.value for r in read if r._r is not None} == set(good)
     assert read[0]._r.asDict() == {"a": 1}
+
+
+def test_fields_of_a_text_are_walked_once(spark):
+    texts = ['{"a" : "x\\"{,", "b":[1.50,{"d":"}]"}]}', " {} ", '{"a":1', "[1]", None, '{"a":"\\\\","b":{"c":""}}']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    found = df.select(text_fields(F.col("value")).alias("f"))
+    want = [['"a" : "x\\"{,"', ' "b":[1.50,{"d":"}]"}]'], [], None, None, None, ['"a":"\\\\"', '"b":{"c":""}']]
+    assert [r.f for r in found.collect()] == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
