@@ -14,6 +14,8 @@ from rillhouse.streaming.processors import (
 
 #: Copies of a dimension row in the state, between which the facts of its key are dealt.
 SALTS = 4
+#: Buckets of devices; the rows of a bucket go through the state together.
+DEVICE_BUCKETS = 256
 
 
 def with_event_time(records: DataFrame, delay: str) -> DataFrame:
@@ -62,11 +64,14 @@ def bounces(
     horizon_ms: int = BOUNCE_HORIZON_MS,
     inclusive: bool = False,
     slice_ms: int | None = None,
+    buckets: int = DEVICE_BUCKETS,
 ) -> DataFrame:
     """Bounced entry pages as `value, seq`.
 
-    State is kept per device and time slice, as in the batch form: a hot device spreads over
-    its slices, and the state of a slice is gone once the watermark is past it.
+    State is kept per time slice, as in the batch form, and bucket of devices: a hot device
+    spreads over its slices, and the state of a slice is gone once the watermark is past it.
+    A batch reads the waiting rows of the buckets it touches, so more `buckets` suit streams
+    with a long horizon and many devices.
     """
     within = horizon_ms + 1 if inclusive else horizon_ms
     width = slice_ms or slices.default_width(within)
@@ -77,10 +82,10 @@ def bounces(
     )
     emits = F.col("own") & F.col("entry")
     slim = placed.select(
-        "mid", "slice", "et", "ts", "seq", "entry", emits.alias("emits"),
+        F.pmod(F.xxhash64("mid"), F.lit(buckets)).cast("int").alias("bucket"), "mid", "slice", "et", "ts", "seq", "entry", emits.alias("emits"),
         F.when(emits, F.col("value")).alias("value"),
     )
-    return slim.groupBy("mid", "slice").transformWithState(
+    return slim.groupBy("bucket", "slice").transformWithState(
         BounceWatch(within), BOUNCE_OUT, "append", "EventTime"
     )
 

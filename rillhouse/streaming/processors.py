@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -9,6 +10,9 @@ from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+#: Rows that are written to a list state together.
+CHUNK = 1000
+
 CLAIM_OUT = T.StructType(
     [
         T.StructField("mid", T.StringType()),
@@ -21,6 +25,7 @@ CLAIM_OUT = T.StructType(
 
 PENDING = T.StructType(
     [
+        T.StructField("mid", T.StringType()),
         T.StructField("ts", T.LongType()),
         T.StructField("seq", T.LongType()),
         T.StructField("entry", T.BooleanType()),
@@ -108,10 +113,12 @@ class FirstClaim(StatefulProcessor):
 
 
 class BounceWatch(StatefulProcessor):
-    """Finds bounces within one device and time slice, in event-time order.
+    """Finds bounces within one time slice of a bucket of devices, in event-time order per device.
 
     Rows wait until the watermark has passed them, so their order is final. The earliest
-    waiting row is settled by a final follower or by the end of its horizon.
+    waiting row of a device is settled by a final follower or by the end of its horizon. The
+    waiting rows of a bucket are read and written together, and one timer wakes it for its
+    earliest row: a call per device costs many times the device's own work.
     """
 
     def __init__(self, within_ms: int) -> None:
@@ -122,7 +129,7 @@ class BounceWatch(StatefulProcessor):
         self.waiting = handle.getListState("waiting", PENDING)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        arrived = [(r.ts, r.seq, r.entry, r.emits, r.value) for r in rows]
+        arrived = [(r.mid, r.ts, r.seq, r.entry, r.emits, r.value) for r in rows]
         yield from self._settle(arrived, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -130,28 +137,41 @@ class BounceWatch(StatefulProcessor):
 
     def _settle(self, arrived: list[tuple], watermark: int) -> Iterator[Row]:
         held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        queue = sorted(held + arrived, key=lambda r: (r[0], r[1]))
-        settled = 0
-        for at, (ts, seq, entry, emits, value) in enumerate(queue):
-            following = queue[at + 1] if at + 1 < len(queue) else None
-            if ts > watermark:
-                break
-            if following is not None and following[0] <= watermark:
-                bounce = following[2] or following[0] - ts >= self.within_ms
-            elif ts + self.within_ms <= watermark or not emits:
-                bounce = True
-            else:
-                break
-            settled += 1
-            if emits and bounce:
-                yield Row(value=value, seq=seq)
-        left = queue[settled:]
+        if not held and not arrived:
+            return
+        queue = sorted(held + arrived, key=lambda r: r[:3])
+        left, wake = [], None
+        for _, rows in itertools.groupby(queue, key=lambda r: r[0]):
+            rows = list(rows)
+            settled = 0
+            for at, (_, ts, seq, entry, emits, value) in enumerate(rows):
+                following = rows[at + 1] if at + 1 < len(rows) else None
+                if ts > watermark:
+                    break
+                if following is not None and following[1] <= watermark:
+                    bounce = following[3] or following[1] - ts >= self.within_ms
+                elif ts + self.within_ms <= watermark or not emits:
+                    bounce = True
+                else:
+                    break
+                settled += 1
+                if emits and bounce:
+                    yield Row(value=value, seq=seq)
+            rest = rows[settled:]
+            if rest:
+                left += rest
+                due = rest[0][1] + (self.within_ms if rest[0][4] else 0)
+                if len(rest) > 1:
+                    due = min(due, rest[1][1])
+                wake = due if wake is None else min(wake, due)
         if left:
-            self.waiting.put(left)
-            wake = left[0][0] + (self.within_ms if left[0][3] else 0)
-            if len(left) > 1:
-                wake = min(wake, left[1][0])
-            self.handle.registerTimer(max(wake, watermark + 1))
+            if arrived or len(left) < len(queue):
+                self.waiting.put(left[:CHUNK])
+                for low in range(CHUNK, len(left), CHUNK):
+                    self.waiting.appendList(left[low : low + CHUNK])
+            wake = max(wake, watermark + 1)
+            if not any(watermark < t <= wake for t in self.handle.listTimers()):
+                self.handle.registerTimer(wake)
         elif held:
             self.waiting.clear()
 

@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from rillhouse import schemas
@@ -10,7 +11,7 @@ from rillhouse.plans import warehouse
 from rillhouse.sinks import dimensions
 from rillhouse.sinks.topics import write_topics
 from rillhouse.sources.topics import Topics, read_topic
-from rillhouse.streaming import jobs
+from rillhouse.streaming import jobs, processors
 from tests.helpers import T0, log_line
 
 ROW = "topic string, value string, seq bigint, record_ms bigint"
@@ -276,3 +277,59 @@ def test_capture_writes_envelopes(spark, job, folder):
     assert json.loads(row.value) == {
         "database": "shop", "tableName": "t", "before": {}, "after": {"id": 1}, "type": "insert",
     }
+
+
+class Held:
+    """A list and timer state in memory that counts its calls."""
+
+    def __init__(self):
+        self.list, self.timers, self.calls = [], set(), 0
+
+    def _called(self, out=None):
+        self.calls += 1
+        return out
+
+    def getListState(self, *_):
+        return self
+
+    def exists(self):
+        return self._called(bool(self.list))
+
+    def get(self):
+        return self._called(iter(self.list))
+
+    def put(self, rows):
+        self.list = self._called(list(rows))
+
+    def appendList(self, rows):
+        self.list += self._called(list(rows))
+
+    def clear(self):
+        self.list = self._called([])
+
+    def listTimers(self):
+        return self._called(iter(sorted(self.timers)))
+
+    def registerTimer(self, at):
+        self._called(self.timers.add(at))
+
+
+class At:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_devices_of_a_bucket_share_their_state_calls():
+    state, watch = Held(), processors.BounceWatch(10)
+    watch.init(state)
+    rows = [Row(mid=f"m{i}", ts=t, seq=2 * i + t, entry=t == 0, emits=t == 0, value=f"v{i}") for i in range(2500) for t in ((0, 1) if i % 2 else (0,))]
+    assert list(watch.handleInputRows((0, 0), iter(rows), At(-1))) == []
+    assert len(state.list) == 3750 and state.timers == {1} and state.calls < 12
+    assert list(watch.handleExpiredTimer((0, 0), At(1), None)) == []
+    # A page that no entry is leaves with its follower; the others wait for their horizon.
+    assert {r[0] for r in state.list} == {f"m{i}" for i in range(0, 2500, 2)} and state.timers == {1, 10}
+    assert sorted(r.seq for r in watch.handleExpiredTimer((0, 0), At(20), None)) == list(range(0, 5000, 4))
+    assert state.list == [] and state.calls < 30
