@@ -6,6 +6,11 @@ domain is cut into more than `k` partitions, some partitions of the two sets are
 partition of a set gives one signature; similar sets share one. A set with so few occupied
 partitions that only empty ones might agree gives signatures for its empty partitions too.
 
+At most `k` partitions differ, so a similar pair shares all but `k` signatures of either set. A set
+that shares fewer with anybody is done, and of the others only the rarest ones are joined, as many
+as it takes to hold one that a similar set shares too: passages that many dissimilar sets share are
+among the rest.
+
 Equal sets are one class throughout, so copies never meet in a join. Signatures shared by several
 classes give candidates in two steps: neighbours within a signature, whose verified links are
 closed to components first, then the pairs of different components that are left. Parity sketches
@@ -145,14 +150,18 @@ class Bands:
         return int(2 * (self.lows[band + 1] - 1) * (1 - self.similarity) / (1 + self.similarity))
 
 
-def signatures(sets: Sets, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """PartEnum signatures of each set, for its own band and for the one above, and their sets."""
-    sigs, owners = [], []
+def signatures(sets: Sets, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """PartEnum signatures of each set, for its own band and for the one above, their sets and needs.
+
+    The need is how many signatures of its band a similar set must share, negative for the band above.
+    Agreeing empty partitions give none where only occupied ones do, so they are taken off it.
+    """
+    sigs, owners, needs = [], [], []
     if not len(sets.items):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
     own = np.array([bands.of(int(n)) for n in sets.sizes])
     mixed, high = mix(sets.items), sets.items >> np.uint64(32)
-    for band in (own, own + 1):
+    for band, sign in ((own, 1), (own + 1, -1)):
         k = np.array([bands.distance(b) for b in band.tolist()])
         parts = np.where(k > 0, (1.15 * k).astype(np.int64) + 6, 1).astype(np.uint64)
         salts = (band + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -162,11 +171,14 @@ def signatures(sets: Sets, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
         sigs.append(mix(np.add.reduceat(mixed, starts) + mix(at[starts] + salts[owner])))
         owners.append(owner)
         occupied = np.bincount(owner, minlength=len(sets.sizes))
+        need = (sign * np.maximum(occupied - k, 1)).astype(np.int32)
+        needs.append(need[owner])
         for i in np.flatnonzero((sets.sizes > 0) & (occupied <= k)):
             empty = np.setdiff1d(np.arange(parts[i], dtype=np.uint64), at[starts[owner == i]])
             sigs.append(mix(mix(empty + salts[i]) ^ np.uint64(0xE703_7ED1_A0B4_28DB)))
             owners.append(np.full(len(empty), i))
-    return np.concatenate(sigs).view(np.int64), np.concatenate(owners)
+            needs.append(np.full(len(empty), need[i]))
+    return np.concatenate(sigs).view(np.int64), np.concatenate(owners), np.concatenate(needs)
 
 
 def _sets(frames: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
@@ -198,9 +210,9 @@ def _signature_rows(frames: Iterator[pd.DataFrame], width: int, similarity: Frac
                 if (key := int(keys[i])) not in seen:
                     seen.add(key)
                     fresh[i] = True
-            sigs, owners = signatures(sets, bands)
+            sigs, owners, needs = signatures(sets, bands)
             chosen = fresh[owners]
-            yield pd.DataFrame({"sig": sigs[chosen], "key": keys[owners[chosen]]})
+            yield pd.DataFrame({"sig": sigs[chosen], "key": keys[owners[chosen]], "need": needs[chosen]})
 
 
 def _wanted_sets(frames: Iterator[pd.DataFrame], width: int, wanted: dict[int, int]) -> Iterator[pd.DataFrame]:
@@ -297,6 +309,35 @@ def _joined_components(parts: DataFrame, links: DataFrame) -> DataFrame:
     return known.unionAll(upper.join(parts, "node", "left_anti"))
 
 
+def _neighbours(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows `sig, key` of signatures that several classes have, each once, with the key `before` it."""
+    by_sig = Window.partitionBy("sig").orderBy("key")
+    so_far = by_sig.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = rows.select(
+        *columns, F.lag("key").over(by_sig).alias("before"), F.lead("key").over(by_sig).alias("after"),
+        F.first("key").over(so_far).alias("lowest"),
+    )
+    # A class may come from several tasks; of the lowest one the last row sees whether there is another.
+    both = both.where(F.when(F.col("lowest") == F.col("key"), F.expr("after <> key")).otherwise(F.expr("before <> key")))
+    return both.select(*columns, F.expr("nullif(before, key)").alias("before"))
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """`(sig, key, before)` of the signatures `sig, key, need` that a similar pair meets on.
+
+    A set and its similar one share `need` signatures. In an order that is the same for all sets,
+    the first shared one of these has `need - 1` others behind it, so the last `need - 1` of each
+    set may go; in order of rarity these are the common ones.
+    """
+    met = _neighbours(rows, "sig", "key", "need")
+    met = met.withColumn("sharing", F.count("*").over(Window.partitionBy("sig"))).drop("before")
+    of_set = Window.partitionBy("key", "need")
+    ranked = met.withColumns({
+        "rank": F.row_number().over(of_set.orderBy("sharing", "sig")), "all": F.count("*").over(of_set),
+    })
+    return _neighbours(ranked.where(F.col("rank") <= F.col("all") - F.abs("need") + 1), "sig", "key")
+
+
 def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY) -> DataFrame:
     """`(key, component)` of every class of equal sets that is similar to another class."""
     classes = sets.where("key is not null").groupBy("key").agg(
@@ -306,13 +347,9 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similar
     classes = stored(classes, "classes")
     rows = (
         docs.select("text")
-        .mapInPandas(lambda f: _signature_rows(f, width, similarity), "sig bigint, key bigint")
+        .mapInPandas(lambda f: _signature_rows(f, width, similarity), "sig bigint, key bigint, need int")
     )
-    by_sig = Window.partitionBy("sig").orderBy("key")
-    shared = rows.select("sig", "key", F.lag("key").over(by_sig).alias("before"), F.lead("key").over(by_sig).alias("after"))
-    # A class may come from several tasks; a signature counts when it has two different ones.
-    shared = shared.where("before <> key or after <> key")
-    shared = stored(shared.where("before is null or before <> key").select("sig", "key", "before"), "shared")
+    shared = stored(_shared(rows), "shared")
 
     near = shared.where("before is not null").groupBy(F.col("key").alias("a"), F.col("before").alias("b")).count()
     seen = classes.select("key", "n_shingles", "sketch")

@@ -120,6 +120,47 @@ def test_long_unrelated_texts_with_one_passage_are_not_compared_whole(spark, mon
     assert 1 <= sum(compared) <= 4
 
 
+def test_a_passage_of_many_unrelated_texts_gives_no_pairs(spark, monkeypatch):
+    rng = random.Random(7)
+    words = [prose(rng, 1) for _ in range(5_000)]
+    passage = prose(rng, 250, words)
+    texts = [prose(rng, 700, words) + " " + passage + " " + prose(rng, 700, words) for _ in range(60)]
+    texts += [texts[0] + " once more", " ".join(texts[1].split()[:-120]), "short " + passage, passage]
+    met, likely = [], jaccard_join._likely
+    monkeypatch.setattr(jaccard_join, "_likely", lambda *given: met.append(given[0].count()) or likely(*given))
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_components(frame(spark, texts)).collect()}
+    assert found == {i: {60: 0, 61: 1, 63: 62}.get(i, i) for i in range(64)}
+    # The 60 texts alone make 1,770 pairs.
+    assert 3 <= sum(met) <= 20
+
+
+def test_needs_are_met_by_every_similar_pair():
+    rng = random.Random(8)
+    words = [prose(rng, 1) for _ in range(400)]
+    texts = []
+    for size in (5, 6, 8, 11, 20, 60, 300):
+        for _ in range(12):
+            whole = prose(rng, size, words).split()
+            texts += [" ".join(whole), " ".join(whole[: -max(1, size // 8)]), " ".join(whole + whole[:2])]
+    sets = jaccard_join.Sets(texts)
+    sigs, owners, needs = jaccard_join.signatures(sets, jaccard_join.Bands())
+    mine = [set(sigs[owners == i].tolist()) for i in range(len(texts))]
+    need = {(int(o), int(s)): int(n) for o, s, n in zip(owners, sigs, needs)}
+    similar = 0
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            one, two = set(sets.of(i).tolist()), set(sets.of(j).tolist())
+            if i != j and one != two and 5 * len(one & two) >= 4 * len(one | two):
+                similar += 1
+                # One of the two bands the sets have in common meets the needs of both.
+                shared = mine[i] & mine[j]
+                levels = {(need[i, s], need[j, s]) for s in shared}
+                assert any(
+                    sum((need[i, s], need[j, s]) == level for s in shared) >= max(map(abs, level)) for level in levels
+                )
+    assert similar > 50
+
+
 def test_jaccard_without_ids_and_rows(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "A b c d e f")]
     found = sorted((str(r.doc_id), r.component_id) for r in jaccard_join.near_components(frame(spark, rows)).collect())
