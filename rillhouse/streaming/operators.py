@@ -9,11 +9,13 @@ from rillhouse.functions.times import day_of
 from rillhouse.operators import logs, slices
 from rillhouse.operators.visitors import BOUNCE_HORIZON_MS
 from rillhouse.streaming.processors import (
-    BOUNCE_OUT, CLAIM_OUT, LOOKUP_OUT, BounceWatch, FirstClaim, LatestImage,
+    BOUNCE_OUT, CLAIM_OUT, LOOKUP_OUT, BounceWatch, FirstClaim, LatestImages,
 )
 
 #: Copies of a dimension row in the state, between which the facts of its key are dealt.
 SALTS = 4
+#: Buckets of dimension rows; the rows of a bucket are held together.
+KEY_BUCKETS = 1024
 #: Buckets of devices; the rows of a bucket go through the state together.
 DEVICE_BUCKETS = 256
 
@@ -91,22 +93,29 @@ def bounces(
 
 
 def lookup_changing(
-    facts: DataFrame, images: DataFrame, stored: DataFrame | None = None, salts: int = SALTS
+    facts: DataFrame, images: DataFrame, stored: DataFrame | None = None, salts: int = SALTS,
+    buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
     """Facts `key, value, seq` with the `image` of their dimension row as of their micro-batch.
 
     `images` is the changelog as a stream, `key, seq, image`; `stored` the rows so far, `key,
-    image`, which a new checkpoint starts from. The dimension lives in keyed state, so a batch
-    costs what it brings and not the dimension. Each row is held once per salt and facts are dealt
-    over the salts, so a hot key is no single task. Facts without a key get no image.
+    image`, which a new checkpoint starts from. The dimension lives in state by bucket of keys, and
+    a batch reads the buckets that it has keys of: more `buckets` suit small batches on large
+    dimensions. Each row is held once per salt and facts are dealt over the salts, so a hot key is
+    no single task. Facts without a key get no image.
     """
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket")
     every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     none = F.lit(None).cast("string")
     keyed = facts.where(F.col("key").isNotNull())
-    dealt = keyed.select("key", F.pmod(F.xxhash64("value", "seq"), F.lit(salts)).cast("int").alias("salt"), "value", "seq", none.alias("image"))
-    copies = images.where(F.col("key").isNotNull() & F.col("image").isNotNull()).select("key", every, none.alias("value"), "seq", "image")
-    first = None if stored is None else stored.select("key", every, "image").groupBy("key", "salt")
-    found = dealt.unionByName(copies).groupBy("key", "salt").transformWithState(
-        LatestImage(), LOOKUP_OUT, "append", "None", initialState=first
+    dealt = keyed.select(bucket, "key", F.pmod(F.xxhash64("value", "seq"), F.lit(salts)).cast("int").alias("salt"), "value", "seq", none.alias("image"))
+    copies = images.where(F.col("key").isNotNull() & F.col("image").isNotNull()).select(bucket, "key", every, none.alias("value"), "seq", "image")
+    first = None
+    if stored is not None:
+        known = stored.where(F.col("key").isNotNull() & F.col("image").isNotNull())
+        whole = known.groupBy(bucket).agg(F.collect_list(F.struct("key", "image")).alias("rows"))
+        first = whole.select("bucket", every, "rows").groupBy("bucket", "salt")
+    found = dealt.unionByName(copies).groupBy("bucket", "salt").transformWithState(
+        LatestImages(), LOOKUP_OUT, "append", "None", initialState=first
     )
     return found.unionByName(facts.where(F.col("key").isNull()).select("value", "seq", none.alias("image")))

@@ -333,3 +333,50 @@ def test_devices_of_a_bucket_share_their_state_calls():
     assert {r[0] for r in state.list} == {f"m{i}" for i in range(0, 2500, 2)} and state.timers == {1, 10}
     assert sorted(r.seq for r in watch.handleExpiredTimer((0, 0), At(20), None)) == list(range(0, 5000, 4))
     assert state.list == [] and state.calls < 30
+
+
+class HeldValue(Held):
+    """A value state; calls are counted."""
+
+    def __init__(self):
+        super().__init__()
+        self.value = None
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        return self._called(self.value)
+
+    def update(self, value):
+        self.value = self._called(value)
+
+
+def test_images_of_a_bucket_share_their_state_calls():
+    state, latest = HeldValue(), processors.LatestImages()
+    latest.init(state)
+    stored = [{"key": f"k{i}", "image": f'{{"id":{i},"name":"né"}}'} for i in range(2000)]
+    latest.handleInitialState((0, 0), Row(rows=stored), None)
+    rows = [Row(key=f"k{i}", value=f"v{i}", seq=i, image=None) for i in range(1990, 2002)]
+    rows += [Row(key=f"k{i}", value=None, seq=s, image=f'{{"name":{t}}}') for i in (1999, 2000) for s, t in ((2, '"b"'), (1, "null"))]
+    found = {r.seq: r.image for r in latest.handleInputRows((0, 0), iter(rows), None)}
+    assert found.pop(1999) == '{"id":1999,"name":"b"}' and found.pop(2000) == '{"name":"b"}' and found.pop(2001) is None
+    assert found == {i: stored[i]["image"] for i in range(1990, 1999)}
+    again = latest.handleInputRows((0, 0), iter([Row(key="k1999", value="v", seq=1, image=None)]), None)
+    assert [r.image for r in again] == ['{"id":1999,"name":"b"}']
+    assert state.calls <= 4
+
+
+def test_changing_lookup_with_few_buckets(spark, folder):
+    users = [("a", 0, '{"name":"A"}'), ("b", 0, '{"name":"B"}'), ("c", 0, None), (None, 0, '{"name":"N"}')]
+    stored = spark.createDataFrame(users, "key string, seq bigint, image string")
+    changes = stored.where("false").union(spark.createDataFrame([("c", 1, '{"name":"C"}'), ("b", 1, '{"age":1}')], stored.schema))
+    facts = spark.createDataFrame([("a", "1", 1), ("b", "2", 2), ("c", "3", 3), ("d", "4", 4), (None, "5", 5)], "key string, value string, seq bigint")
+    changes.write.parquet(f"{folder}/images")
+    facts.write.parquet(f"{folder}/facts")
+    streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{n}") for n, df in (("facts", facts), ("images", changes))]
+    found = operators.lookup_changing(*streams, stored, salts=2, buckets=1)
+    query = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ck")
+    query.trigger(availableNow=True).start().awaitTermination()
+    got = {r.seq: r.image for r in spark.read.schema(found.schema).parquet(f"{folder}/out").collect()}
+    assert got == {1: '{"name":"A"}', 2: '{"name":"B","age":1}', 3: '{"name":"C"}', 4: None, 5: None}
