@@ -1,5 +1,6 @@
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Row
@@ -7,11 +8,11 @@ from pyspark.sql import functions as F
 
 from rillhouse import schemas
 from rillhouse.operators import logs, stats, visitors
-from rillhouse.plans import warehouse
+from rillhouse.plans import stream_queries, warehouse
 from rillhouse.sinks import dimensions
 from rillhouse.sinks.topics import write_topics
 from rillhouse.sources.topics import Topics, read_topic
-from rillhouse.streaming import jobs, processors
+from rillhouse.streaming import jobs, operators, processors
 from tests.helpers import T0, log_line
 
 ROW = "topic string, value string, seq bigint, record_ms bigint"
@@ -380,3 +381,15 @@ def test_changing_lookup_with_few_buckets(spark, folder):
     query.trigger(availableNow=True).start().awaitTermination()
     got = {r.seq: r.image for r in spark.read.schema(found.schema).parquet(f"{folder}/out").collect()}
     assert got == {1: '{"name":"A"}', 2: '{"name":"B","age":1}', 3: '{"name":"C"}', 4: None, 5: None}
+
+
+def test_streams_upload_state_changes_in_any_session(spark, folder, monkeypatch):
+    name = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    kept = spark.conf.get(name)
+    monkeypatch.setattr(stream_queries, "_folder", lambda spark: folder)
+    spark.conf.set(name, "false")
+    try:
+        assert stream_queries.stream_order_interval_join(spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.set(name, kept)
+    assert list(Path(folder).rglob("*.changelog"))
