@@ -9,12 +9,14 @@ partitions that only empty ones might agree gives signatures for its empty parti
 At most `k` partitions differ, so a similar pair shares all but `k` signatures of either set. A set
 that shares fewer with anybody is done, and of the others only the rarest ones are joined, as many
 as it takes to hold one that a similar set shares too: passages that many dissimilar sets share are
-among the rest.
+among the rest. Sets of one band meet in that band alone, not in the one above too.
 
 Equal sets are one class throughout, so copies never meet in a join. Signatures shared by several
 classes give candidates in two steps: neighbours within a signature, whose verified links are
-closed to components first, then the pairs of different components that are left. Parity sketches
-bound the Hamming distance from below inside that join; sketches in proportion to a set's size do so
+closed to components first, then the pairs of different components that are left. Of a family of near
+copies nearly all are one component by then, and only the others are held against the rest. Parity
+sketches bound the Hamming distance from below inside that join, and a pair that shares many signatures
+is taken at the first of them, not at each; sketches in proportion to a set's size bound the distance
 again for the pairs of large sets, so that hardly more than true links are compared by whole sets.
 """
 
@@ -42,6 +44,8 @@ SETS = "doc_id bigint, n_shingles bigint, key bigint, sketch array<bigint>, wide
 CHUNK_CHARS, CHUNK_TEXTS = 200_000, 500
 #: Neighbours per class that the first step verifies.
 NEAREST = 3
+#: Signatures before its own that a row keeps, by which a pair knows that it has met already.
+EARLIER = 16
 
 
 def text_chunks(texts: Iterable[str | None]) -> Iterator[list[str]]:
@@ -323,19 +327,58 @@ def _neighbours(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """`(sig, key, before)` of the signatures `sig, key, need` that a similar pair meets on.
+    """`(sig, key, own, before)` of the signatures `sig, key, need` that a similar pair meets on.
 
     A set and its similar one share `need` signatures. In an order that is the same for all sets,
     the first shared one of these has `need - 1` others behind it, so the last `need - 1` of each
-    set may go; in order of rarity these are the common ones.
+    set may go; in order of rarity these are the common ones. The signatures are those of the band
+    that one of the two is of, so one that all its sets have for the band above theirs is not among them.
     """
     met = _neighbours(rows, "sig", "key", "need")
-    met = met.withColumn("sharing", F.count("*").over(Window.partitionBy("sig"))).drop("before")
+    by_sig = Window.partitionBy("sig")
+    met = met.withColumns({"sharing": F.count("*").over(by_sig), "own": F.max("need").over(by_sig) > 0})
+    met = met.where("own").drop("own", "before")
     of_set = Window.partitionBy("key", "need")
     ranked = met.withColumns({
         "rank": F.row_number().over(of_set.orderBy("sharing", "sig")), "all": F.count("*").over(of_set),
     })
-    return _neighbours(ranked.where(F.col("rank") <= F.col("all") - F.abs("need") + 1), "sig", "key")
+    ranked = ranked.where(F.col("rank") <= F.col("all") - F.abs("need") + 1)
+    return _neighbours(ranked.withColumn("own", F.col("need") > 0), "sig", "key", "own")
+
+
+def _open(known: DataFrame) -> DataFrame:
+    """The rows `sig, key, own, component` of signatures on which different components may meet.
+
+    Each has the component `main` that most sets of its signature are of, and in `earlier` the last
+    signatures of its set and band that come before its own.
+    """
+    known = known.repartition("sig")
+    sizes = known.groupBy("sig", "component").agg(F.count("*").alias("n"), F.bool_or("own").alias("own"))
+    spread = sizes.groupBy("sig").agg(
+        F.count("*").alias("several"), F.bool_or("own").alias("own"),
+        F.max(F.struct("n", "component"))["component"].alias("main"),
+    )
+    left = known.join(spread.where("several > 1 and own").select("sig", "main"), "sig")
+    of_set = Window.partitionBy("key", "own").orderBy("sig").rowsBetween(-EARLIER, -1)
+    return left.withColumn("earlier", F.collect_list("sig").over(of_set))
+
+
+def _meetings(left: DataFrame, similarity: Fraction) -> DataFrame:
+    """The pairs `(a, b)` of open rows of different components whose sizes and sketches leave room.
+
+    A pair is taken at a signature unless it shares one of the earlier ones of both sets, so always at
+    the first that it shares and hardly at another. Rows of the main component meet the others only.
+    """
+    one, two = left.where("component <> main").alias("one"), left.alias("two")
+    return one.join(
+        two,
+        (F.col("one.sig") == F.col("two.sig"))
+        & (F.col("one.component") != F.col("two.component"))
+        & ((F.col("two.component") == F.col("two.main")) | (F.col("one.key") < F.col("two.key")))
+        & (F.col("one.own") | F.col("two.own"))
+        & _close("one", "two", similarity)
+        & ~F.arrays_overlap("one.earlier", "two.earlier"),
+    ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
 
 
 def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similarity: Fraction = SIMILARITY) -> DataFrame:
@@ -364,19 +407,10 @@ def linked_classes(docs: DataFrame, sets: DataFrame, width: int = WIDTH, similar
     links = _verified(near, docs, classes, width, similarity)
     parts = components(links)
 
-    known = shared.select("sig", "key").join(parts.withColumnRenamed("node", "key"), "key", "left")
+    known = shared.select("sig", "key", "own").join(parts.withColumnRenamed("node", "key"), "key", "left")
     known = known.withColumn("component", F.coalesce("component", "key"))
-    spread = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_sigs = spread.where("low <> high").select("sig", "high")
-    left = known.join(open_sigs, "sig").join(seen, "key")
-    left = stored(left.select("sig", "key", "component", "n_shingles", "sketch", "high"), "open")
-    one, two = left.where("component <> high").alias("one"), left.alias("two")
-    rest = one.join(
-        two,
-        (F.col("one.sig") == F.col("two.sig"))
-        & (F.col("one.component") != F.col("two.component"))
-        & _close("one", "two", similarity),
-    ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
+    left = stored(_open(known).join(seen, "key"), "open")
+    rest = _meetings(left, similarity)
     rest = stored(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "rest")
     discard(shared, left)
     more = _verified(rest, docs, classes, width, similarity)

@@ -7,6 +7,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from rillhouse.llm import (
     block_labeller,
@@ -134,6 +135,55 @@ def test_a_passage_of_many_unrelated_texts_gives_no_pairs(spark, monkeypatch):
     assert 3 <= sum(met) <= 20
 
 
+def test_a_pair_of_near_copies_is_taken_once_however_many_signatures_it_shares(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [prose(rng, 1) for _ in range(5_000)]
+    base = prose(rng, 400, words).split()
+    texts = [" ".join(base)]
+    for _ in range(60):
+        copy = list(base)
+        for place in rng.sample(range(400), rng.randrange(6, 13)):
+            copy[place] = prose(rng, 1, words)
+        texts.append(" ".join(copy))
+    taken, meetings = [], jaccard_join._meetings
+    monkeypatch.setattr(
+        jaccard_join, "_meetings",
+        lambda *given: taken.extend((min(r), max(r)) for r in meetings(*given).collect()) or meetings(*given),
+    )
+    rows = list(enumerate(texts))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_components(frame(spark, texts)).collect()}
+    assert found == brute_components(rows)
+    # Without a rule each pair would come once for every signature that it shares.
+    assert len(set(taken)) >= 20
+    assert len(taken) <= 3 * len(set(taken))
+
+
+def test_meetings_are_all_pairs_that_share_a_signature_of_either_band(spark):
+    rng = random.Random(10)
+    rows, component = [], {key: key if key % 3 else 3 for key in range(1, 31)}
+    for key in component:
+        for sig in rng.sample(range(60), rng.choice([1, 2, 8, 40])):
+            # Below 30 the signatures are of the band of the even keys.
+            rows.append((sig, key, (sig < 30) == (key % 2 == 0), component[key]))
+    known = spark.createDataFrame(rows, "sig bigint, key bigint, own boolean, component bigint")
+    left = jaccard_join._open(known).withColumns(
+        {"n_shingles": F.lit(9), "sketch": F.array(*[F.lit(0).cast("bigint")] * jaccard_join.SKETCH)}
+    )
+    met = [(min(r), max(r)) for r in jaccard_join._meetings(left, jaccard_join.SIMILARITY).collect()]
+    expected = {
+        (a, b)
+        for sig, a, own, _ in rows
+        for other, b, its, _ in rows
+        if sig == other and a < b and (own or its) and component[a] != component[b]
+    }
+    assert set(met) == expected
+    shared = sum(
+        sig == other and a < b and (own or its) and component[a] != component[b]
+        for sig, a, own, _ in rows for other, b, its, _ in rows
+    )
+    assert len(met) < shared / 2
+
+
 def test_needs_are_met_by_every_similar_pair():
     rng = random.Random(8)
     words = [prose(rng, 1) for _ in range(400)]
