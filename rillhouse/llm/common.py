@@ -18,6 +18,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 POWERS = 1 << 16
 #: Whether a written step's shuffle files go when its write ends, not when the driver collects garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bytes of the rows that go to a Python worker at once; Spark's own bounds are 10,000 rows and 64 MB.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -46,12 +48,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of texts for Python workers in bytes, whatever the texts' length.
+
+    The setting stays with the session, as the caller plans and runs what an operator returns; a
+    session's own setting is left alone.
+    """
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 def discard(*steps: DataFrame) -> None:
-    """Empty the folders of stored steps that no later plan reads; what is given is no frame any more."""
+    """Empty the folders of stored steps that no later plan reads; what is given is no frame any more.
+
+    No row comes from Python, which would start workers of another kind beside those of the UDFs.
+    """
     for step in steps:
         files = step.inputFiles()
         if files:
-            nothing = step.sparkSession.createDataFrame([], step.schema)
+            columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in step.schema]
+            nothing = step.sparkSession.range(0).select(*columns)
             nothing.write.mode("overwrite").parquet(files[0].rsplit("/", 1)[0])
 
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import alnum_words, stored
+from rillhouse.llm.common import alnum_words, small_batches, stored
 
 WINDOW = 10
 #: Bound of the distinct test terms, which are broadcast; a larger test set must be given in parts.
@@ -122,6 +122,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
     `row, item_id, start, off, n, exact`, each a run of `n` item words from item word `off` that
     stands in the document from word `start`. Runs are at least a window, or a whole short item.
     """
+    small_batches(docs.sparkSession)
     terms = item_terms(benchmark)
     size = F.when(F.col("n_item") < window, F.col("n_item"))
     words = terms.groupBy("word").agg(F.count(size).alias("short"), F.min(size).alias("least"))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import components, discard, mix, space_word_hashes, stored
+from rillhouse.llm.common import components, discard, mix, small_batches, space_word_hashes, stored
 
 WIDTH = 5
 SIMILARITY = Fraction(4, 5)
@@ -219,9 +219,10 @@ def _signature_rows(frames: Iterator[pd.DataFrame], width: int, similarity: Frac
             yield pd.DataFrame({"sig": sigs[chosen], "key": keys[owners[chosen]], "need": needs[chosen]})
 
 
-def _wanted_sets(frames: Iterator[pd.DataFrame], width: int, wanted: dict[int, int]) -> Iterator[pd.DataFrame]:
+def _wanted_sets(frames: Iterator[pd.DataFrame], width: int, wanted: np.ndarray) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        chosen = [wanted.get(bit >> 6, 0) >> (bit & 63) & 1 for bit in frame["bit"].tolist()]
+        bits = frame["bit"].to_numpy(np.int64)
+        chosen = (wanted[bits >> 6] >> (bits & 63).astype(np.uint64) & np.uint64(1)).tolist()
         for texts in text_chunks(itertools.compress(frame["text"], chosen)):
             sets = Sets(texts, width)
             some = np.flatnonzero(sets.sizes)
@@ -270,7 +271,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
     )
-    wanted = spark.sparkContext.broadcast({r["word"]: r["bits"] & 0xFFFFFFFFFFFFFFFF for r in words.toLocalIterator()})
+    bitmap = np.zeros(BITMAP_BITS >> 6, np.int64)
+    for r in words.toLocalIterator():
+        bitmap[r["word"]] = r["bits"]
+    wanted = spark.sparkContext.broadcast(bitmap.view(np.uint64))
     sets = docs.select(_bit(F.col("doc_id")).alias("bit"), "text").mapInPandas(
         lambda frames: _wanted_sets(frames, width, wanted.value), "key bigint, items array<bigint>"
     )
@@ -428,6 +432,7 @@ def near_components(docs: DataFrame, width: int = WIDTH, similarity: Fraction =
     shingle and is its own component. Rows without `doc_id` keep a null component and link nothing;
     repeated rows are copies. No row gives an empty result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     whole = docs.where("doc_id is not null")
     sets = stored(

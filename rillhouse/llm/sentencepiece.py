@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillhouse.llm.common import small_batches
 from rillhouse.llm.jaccard_join import text_chunks
 
 MARK = "▁"
@@ -216,6 +217,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     other columns are ignored. A literal word mark in a text decodes to a space, as in the library.
     A task holds the results of some 200,000 characters at a time, or of one longer text.
     """
+    small_batches(docs.sparkSession)
     pieces = read_pieces(model_file)
     of = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(lambda batches: _encoded(batches, pieces), f"doc_id {of}, {RESULT}")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import mix, space_word_hashes, stored
+from rillhouse.llm.common import mix, small_batches, space_word_hashes, stored
 from rillhouse.llm.jaccard_join import text_chunks
 
 #: Words of the shortest passage that counts as one: more than fifty.
@@ -181,6 +181,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     of one id with other texts rank by a hash of the text; null ids come first. Texts of fewer words are never changed.
     Clashing column names of the input are replaced by the new ones.
     """
+    small_batches(docs.sparkSession)
     fresh = [c for c in docs.columns if c not in ("n_words", "n_removed", "passages")]
     docs = docs.select(*fresh)
     classes = classes_of(docs)

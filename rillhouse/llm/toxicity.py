@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillhouse.llm.common import id_remainder, stored
+from rillhouse.llm.common import id_remainder, small_batches, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Bound of the labelled sample that the model is fitted on; rows are chosen by a hash of the id.
@@ -163,6 +163,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -
     Held out are ids whose crc32 as text is 0 modulo 5. Null labels and ids do not count, a
     document with several labels is toxic if one says so, and near copies of equal label count once.
     """
+    small_batches(docs.sparkSession)
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.where(id_remainder(F.col("doc_id"), 5) != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

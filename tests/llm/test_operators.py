@@ -5,12 +5,14 @@ import re
 import struct
 import zlib
 
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from rillhouse.llm import (
     block_labeller,
+    common,
     decontamination,
     jaccard_join,
     language_mixture,
@@ -211,6 +213,46 @@ def test_needs_are_met_by_every_similar_pair():
     assert similar > 50
 
 
+@pytest.mark.parametrize("operator", ["near", "sample", "repeats", "matches", "pieces"])
+def test_texts_reach_python_in_batches_bounded_in_bytes(spark, operator):
+    docs = frame(spark, ["a b c d e f"])
+    spark.conf.unset(common.BATCH)
+    labels = spark.createDataFrame([(0, 1)], "doc_id bigint, toxic int")
+    benchmark = spark.createDataFrame([(0, "a b c")], "item_id bigint, text string")
+    {
+        "near": lambda: jaccard_join.near_components(docs),
+        "sample": lambda: toxicity.training_rows(docs, labels),
+        "repeats": lambda: substring_dedup.without_repeats(docs),
+        "matches": lambda: decontamination.contamination(docs, benchmark),
+        "pieces": lambda: sentencepiece.encode_documents(docs, SP),
+    }[operator]()
+    long = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("text"))
+    sizes = long.mapInPandas(lambda frames: (pd.DataFrame({"n": [f["text"].str.len().sum()]}) for f in frames), "n bigint")
+    sizes = [r["n"] for r in sizes.collect()]
+    assert sum(sizes) == 400 * 20_000 and max(sizes) <= common.BATCH_BYTES + 20_000
+    spark.conf.set(common.BATCH, "5m")
+    jaccard_join.near_components(docs)
+    assert spark.conf.get(common.BATCH) == "5m"
+    spark.conf.unset(common.BATCH)
+
+
+def test_discarded_steps_are_empty_and_no_row_of_them_comes_from_python(spark, monkeypatch):
+    schema = "key bigint, items array<bigint>, e struct<a:int,b:string>"
+    step = common.stored(spark.createDataFrame([(1, [2, 3], (4, "x"))], schema), "step")
+    path = step.inputFiles()[0].rsplit("/", 1)[0]
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    common.discard(step)
+    assert spark.read.schema(step.schema).parquet(path).count() == 0
+
+
+def test_wanted_sets_are_those_whose_bit_is_set():
+    wanted = jaccard_join.np.zeros(4, jaccard_join.np.uint64)
+    wanted[0], wanted[3] = 1, 1 << 63
+    rows = pd.DataFrame({"bit": [0, 1, 255, 63, 64], "text": ["a", "b", "c", "d", "e"]})
+    found = pd.concat(jaccard_join._wanted_sets(iter([rows]), 5, wanted))
+    assert found["key"].tolist() == jaccard_join.Sets(["a", "c"]).keys().tolist()
+
+
 def test_jaccard_without_ids_and_rows(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (9, "A b c d e f")]
     found = sorted((str(r.doc_id), r.component_id) for r in jaccard_join.near_components(frame(spark, rows)).collect())
